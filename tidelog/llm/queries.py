@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidelog.llm import decontaminate
+from tidelog.llm.decontaminate import op5_decontaminate
 from tidelog.llm.quality import op1_quality_llr
 from tidelog.llm.tokens import op8_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_llr": op1_quality_llr,
+    "op5_decontaminate": op5_decontaminate,
     "op8_token_counts": op8_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_decontaminate": decontaminate.ORACLE,
+}
