@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidelog.llm import decontaminate
 from tidelog.llm.decontaminate import op5_decontaminate
+from tidelog.llm.html_extract import op9_html_extract
 from tidelog.llm.quality import op1_quality_llr
 from tidelog.llm.tokens import op8_token_counts
 
@@ -15,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_llr": op1_quality_llr,
     "op5_decontaminate": op5_decontaminate,
     "op8_token_counts": op8_token_counts,
+    "op9_html_extract": op9_html_extract,
 }
 
 ORACLES: dict[str, str] = {
