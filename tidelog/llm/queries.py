@@ -9,16 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from tidelog.llm import decontaminate
 from tidelog.llm.decontaminate import op5_decontaminate
 from tidelog.llm.html_extract import op9_html_extract
+from tidelog.llm.near_dup import op4_minhash_near_dedup
 from tidelog.llm.quality import op1_quality_llr
 from tidelog.llm.tokens import op8_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_llr": op1_quality_llr,
+    "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op8_token_counts": op8_token_counts,
     "op9_html_extract": op9_html_extract,
 }
 
 ORACLES: dict[str, str] = {
+    "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_decontaminate": decontaminate.ORACLE,
 }
