@@ -12,10 +12,12 @@ from tidelog.llm.html_extract import op9_html_extract
 from tidelog.llm.lm_score import op6_lm_score
 from tidelog.llm.near_dup import op4_minhash_near_dedup
 from tidelog.llm.quality import op1_quality_llr
+from tidelog.llm.suffix_dedup import op3_suffix_dedup
 from tidelog.llm.tokens import op8_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_llr": op1_quality_llr,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op6_lm_score": op6_lm_score,
@@ -24,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_decontaminate": decontaminate.ORACLE,
 }
