@@ -36,18 +36,19 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where("u <> v").distinct()
 
 
+def _unsettled(edges: DataFrame) -> bool:
+    """Is there a node with two smaller neighbours, or one with neighbours on both sides?"""
+    two = edges.groupBy("u").count().where("count > 1").select("u").limit(1)
+    return not two.unionByName(edges.select("u").join(edges.select(F.col("v").alias("u")), "u", "left_semi").limit(1)).isEmpty()
+
+
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """(node, root) of every node with an edge; root is the least node of its component.
 
     Null ends and self-loops are ignored, repeated edges count once; no edges give no rows.
     """
     now = saved(edges.where(f"`{u}` <> `{v}`").select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct(), "edges")
-    mark = None
-    while True:
-        sign = tuple(now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
-        if sign == mark or not sign[0]:
-            break
-        mark = sign
+    while _unsettled(now):
         after = saved(_star(_star(now, True), False), "edges")
         drop_saved(now.sparkSession, now)
         now = after

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidelog.llm import decontaminate
 from tidelog.llm.decontaminate import op5_decontaminate
 from tidelog.llm.html_extract import op9_html_extract
+from tidelog.llm.line_dedup import op2_line_dedup
 from tidelog.llm.lm_score import op6_lm_score
 from tidelog.llm.near_dup import op4_minhash_near_dedup
 from tidelog.llm.quality import op1_quality_llr
@@ -17,6 +18,7 @@ from tidelog.llm.tokens import op8_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_llr": op1_quality_llr,
+    "op2_line_dedup": op2_line_dedup,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_decontaminate": op5_decontaminate,
@@ -26,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_line_dedup": op2_line_dedup,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_decontaminate": decontaminate.ORACLE,
