@@ -211,7 +211,7 @@ def occurrence_vectors(pages: DataFrame, html_col: str = "html", url_col: str =
                     host.append(h), key.append(k), token.append(t), kind.append(text), depth.append(d), seen.append(c)
             yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(key, pa.int64()), pa.array(token, pa.int64()), pa.array(kind, pa.bool_()), pa.array(depth, pa.int32()), pa.array(seen, pa.int32())], list("abcdef"))
 
-    rows = pages.select(_host(url_col), F.xxhash64(id_col, url_col), F.col(html_col).cast("string")).mapInArrow(run, "host string, page long, token long, is_text boolean, depth int, seen int")
+    rows = pages.select(_host(url_col).alias("host"), F.xxhash64(id_col, url_col).alias("page"), F.col(html_col).cast("string").alias("html")).mapInArrow(run, "host string, page long, token long, is_text boolean, depth int, seen int")
     return rows.groupBy("host", "token", "is_text", "depth").agg(F.count("*").alias("n_pages"), F.sum("seen").alias("n_seen"), F.bit_xor(F.xxhash64("page", "seen")).alias("vector"))
 
 

@@ -13,6 +13,7 @@ from tidelog.llm.line_dedup import op2_line_dedup
 from tidelog.llm.lm_score import op6_lm_score
 from tidelog.llm.near_dup import op4_minhash_near_dedup
 from tidelog.llm.quality import op1_quality_llr
+from tidelog.llm.sentence_pieces import op10_sentence_pieces
 from tidelog.llm.suffix_dedup import op3_suffix_dedup
 from tidelog.llm.tokens import op8_token_counts
 
@@ -25,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_lm_score": op6_lm_score,
     "op8_token_counts": op8_token_counts,
     "op9_html_extract": op9_html_extract,
+    "op10_sentence_pieces": op10_sentence_pieces,
 }
 
 ORACLES: dict[str, str] = {
