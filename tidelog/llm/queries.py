@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import decontaminate
+from tidelog.llm import chat_format, decontaminate
+from tidelog.llm.chat_format import op7_chat_format
 from tidelog.llm.decontaminate import op5_decontaminate
 from tidelog.llm.html_extract import op9_html_extract
 from tidelog.llm.line_dedup import op2_line_dedup
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op6_lm_score": op6_lm_score,
+    "op7_chat_format": op7_chat_format,
     "op8_token_counts": op8_token_counts,
     "op9_html_extract": op9_html_extract,
     "op10_sentence_pieces": op10_sentence_pieces,
@@ -34,4 +36,5 @@ ORACLES: dict[str, str] = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_decontaminate": decontaminate.ORACLE,
+    "op7_chat_format": chat_format.ORACLE,
 }
