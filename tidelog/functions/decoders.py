@@ -44,7 +44,7 @@ def number(b: bytes) -> Decimal | None:
         raise ValueError(f"not a NUMBER: {b.hex()}")
     whole = Decimal(int("".join(f"{p:02d}" for p in pairs)))
     value = whole.scaleb(2 * (exponent - len(pairs) + 1), _EXACT)
-    return value if positive else -value
+    return value if positive else value.copy_negate()
 
 
 def number_bytes(value: Decimal | int) -> bytes:

@@ -25,11 +25,12 @@ class Alteration:
 
 
 def _split(body: str) -> list[str]:
-    """Top-level comma parts."""
-    parts, depth, at = [], 0, 0
+    """Comma parts outside parentheses and quotes."""
+    parts, depth, at, quoted = [], 0, 0, False
     for k, ch in enumerate(body):
-        depth += (ch == "(") - (ch == ")")
-        if ch == "," and depth == 0:
+        quoted ^= ch == "'"
+        depth += ((ch == "(") - (ch == ")")) * (not quoted)
+        if ch == "," and depth == 0 and not quoted:
             parts.append(body[at:k])
             at = k + 1
     return [p.strip() for p in [*parts, body[at:]] if p.strip()]
@@ -52,7 +53,7 @@ def parse_alter(text: str) -> Alteration | None:
         for p in _split(body):
             name, _, rest = p.partition(" ")
             # a comma inside (p,s) becomes a bar, since lists are comma lists
-            pairs.append((name, re.sub(r"\s*,\s*", "|", rest.strip())))
+            pairs.append((name, re.sub(r"\([^)']*\)", lambda m: re.sub(r"\s*,\s*", "|", m[0]), rest.strip())))
         return Alteration(r[1].lower(), tuple(pairs), text)
     if r := re.match(r"(drop|set unused) ?(column )?(?!constraint|unused|supplemental|primary|partition)(.*)$", action, re.I):
         body = r[3].strip()

@@ -8,9 +8,10 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def inflate(data: pd.Series) -> pd.Series:
     """zlib bytes to plain bytes; NULL stays."""
     return data.map(lambda b: None if b is None else zlib.decompress(b))
