@@ -6,16 +6,19 @@ inverted lists are keyed by each run of ``RUN`` consecutive retained values, whi
 similarity s share with probability 1 - O(x**SKETCH) (x = 0.63 at s = 0.85: a loss near 1e-6;
 0.70 at 0.8: near 1e-5), and always if they have at most ``SKETCH`` shingles.
 
-A list never emits its pairs: its members meet leaders of the list, each the least under one
-of several hash orders, so work is linear in the postings however long a list is.  The first
-leader is tried first; later ones only for members that are in another component by then,
-and lists of at most ``SMALL_LIST`` members finally meet in full where components still
-differ.  Candidates pass a size filter and the union-sketch estimate (``SLACK`` below the
-threshold, over four standard deviations), and links are confirmed on the full sets.
-
-Longer lists are left after ``LEADERS`` orders: a member of a group of thousands that is
-linked to a share p of it stays apart with probability (1 - p)**m, where m is the number of
-distinct leaders that it met, usually over 100.
+A list never emits its pairs.  Its members meet leaders: first the least under one order of
+all classes, then, only where components still differ, ``LEADERS`` of an order of the list's
+own, and its ``HUBS`` members of most weight (the summed length of their lists), which are
+nearest to what a group has in common (other ones in each of up to ``TURNS`` turns, until a
+turn finds nothing).  What is then outside a list's largest component meets the whole list: in lists of
+at most ``SMALL_LIST`` members always, in longer ones where three quarters of the list are one
+component (a group of near copies), each such member in the ``WIDE`` shortest of them.  So work
+stays in proportion to the postings, and a member of a large group finds even a single link;
+in long lists of documents that share a common passage only, leaders decide, and near copies
+among those have other lists of their own.
+
+Candidates pass a size filter and the union-sketch estimate (``SLACK`` below the threshold,
+over four standard deviations), and links are confirmed on the full sets.
 
 Edge cases: a null or empty text has an empty set and links with nothing; texts of fewer
 words than a shingle are one shingle; null ids take part in classes but never name a
@@ -36,7 +39,7 @@ from tidelog.llm import textnum as T
 from tidelog.llm.common import prepare, saved, table
 from tidelog.llm.components import components, small_side
 
-SKETCH, RUN, LEADERS, SMALL_LIST, SLACK = 32, 3, 4, 16, 0.3
+SKETCH, RUN, LEADERS, SMALL_LIST, WIDE, HUBS, TURNS, SLACK = 32, 3, 3, 16, 10, 8, 6, 0.3
 
 
 def _sets(buf: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,29 +120,49 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, pe
     return saved(both.where(f"100 * common >= {percent} * (size(sa) + size(sb) - common)").select("a", "b"), "links")
 
 
-def _apart(pairs: DataFrame, links: DataFrame | None) -> DataFrame:
-    """The pairs whose ends are in different components of the links so far."""
-    if links is None:
-        return pairs
-    comp = saved(components(links, "a", "b"), "components")
-    one, two = (small_side(comp.select(F.col("node").alias(x), F.col("root").alias(f"r{x}"))) for x in "ab")
+def _roots(links: DataFrame) -> DataFrame:
+    return saved(components(links, "a", "b"), "components")
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components so far."""
+    one, two = (small_side(roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}"))) for x in "ab")
     return pairs.join(one, "a", "left").join(two, "b", "left").where("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b")
 
 
+def _outsiders(met: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, na, b, nb) of what is outside the largest component of a list with the list's members of other components."""
+    side = small_side(roots.select(F.col("node").alias("b"), "root"))
+    named = saved(met.where("members > 2").select("key", "members", "b", "nb").join(side, "b", "left").withColumn("root", F.coalesce("root", "b")), "named")
+    # members that are in the longest lists are nearest to what a group has in common
+    weight = named.groupBy("b").agg(F.sum("members").alias("weight"))
+    hub = [F.max(F.when(F.pmod(F.xxhash64("b", F.lit(turn)), F.lit(HUBS)) == k, F.struct("weight", F.col("b").alias("a"), F.col("nb").alias("na"), F.col("root").alias("other")))).alias(f"h{k}") for k in range(HUBS)]
+    hubs = named.join(weight, "b").groupBy("key").agg(*hub)
+    to_hubs = named.join(hubs, "key").select("b", "nb", "root", F.explode(F.array(*(f"h{k}" for k in range(HUBS)))).alias("h")).where("root <> h.other").select("h.a", "h.na", "b", "nb")
+    most = named.groupBy("key", "root").count().groupBy("key").agg(F.max_by("root", F.struct("count", "root")).alias("major"), F.max("count").alias("most"))
+    outside = named.join(most, "key").where("root <> major").drop("major")
+    small = outside.where(f"members <= {SMALL_LIST}").select("key", "b", "nb", "root")
+    wide = outside.where(f"members > {SMALL_LIST} and 4 * most >= 3 * members").groupBy("b", "nb", "root").agg(F.slice(F.sort_array(F.collect_list(F.struct("members", "key"))), 1, WIDE).alias("lists"))
+    asked = small.unionByName(wide.select(F.explode("lists.key").alias("key"), "b", "nb", "root"))
+    return asked.join(named.select("key", F.col("b").alias("a"), F.col("nb").alias("na"), F.col("root").alias("other")), "key").where("root <> other").select("a", "na", "b", "nb").unionByName(to_hubs)
+
+
 def links(docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
     """Confirmed links (a, b) between classes, enough of them to join every component."""
-    size_ok = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
-    leaders = _postings(classes).groupBy("key").agg(F.count("*").alias("members"), *(F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("o"), "node", "n")).alias(f"l{k}") for k in range(LEADERS))).where("members > 1")
+    ordered = lambda df: df.where("a <> b").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    own = [F.min(F.struct(F.xxhash64("node", "key", F.lit(k)).alias("o"), "node", "n")).alias(f"l{k}") for k in range(1, LEADERS + 1)]
+    leaders = _postings(classes).groupBy("key").agg(F.count("*").alias("members"), F.min(F.struct("node", "n")).alias("l0"), *own).where("members > 1")
     # postings of shared lists, each with its list's leaders
-    met = saved(_postings(classes).join(leaders, "key").select("key", "members", F.col("node").alias("b"), F.col("n").alias("nb"), *(F.struct(f"l{k}.node", f"l{k}.n").alias(f"l{k}") for k in range(LEADERS))), "postings")
-    ordered = lambda df: df.where("a <> b").where(size_ok).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    first = ordered(met.select("b", "nb", F.col("l0.node").alias("a"), F.col("l0.n").alias("na")))
-    found = _confirmed(first, classes, docs, n, percent)
-    others = met.where("members > 2").select("b", "nb", F.explode(F.array(*(f"l{k}" for k in range(1, LEADERS)))).alias("l")).select("b", "nb", F.col("l.node").alias("a"), F.col("l.n").alias("na"))
-    found = found.unionByName(_confirmed(_apart(ordered(others), found), classes, docs, n, percent))
-    small = met.where(f"members > {LEADERS} and members <= {SMALL_LIST}").select("key", "b", "nb")
-    rest = small.join(small.select("key", F.col("b").alias("a"), F.col("nb").alias("na")), "key").where("a < b")
-    return found.unionByName(_confirmed(_apart(ordered(rest), found), classes, docs, n, percent))
+    met = saved(_postings(classes).join(leaders, "key").select("key", "members", F.col("node").alias("b"), F.col("n").alias("nb"), *(F.struct(f"l{k}.node", f"l{k}.n").alias(f"l{k}") for k in range(LEADERS + 1))), "postings")
+    found = _confirmed(ordered(met.select("b", "nb", F.col("l0.node").alias("a"), F.col("l0.n").alias("na"))), classes, docs, n, percent)
+    others = met.where("members > 2").select("b", "nb", F.explode(F.array(*(f"l{k}" for k in range(1, LEADERS + 1)))).alias("l")).select("b", "nb", F.col("l.node").alias("a"), F.col("l.n").alias("na"))
+    found = found.unionByName(_confirmed(_apart(ordered(others), _roots(found)), classes, docs, n, percent))
+    for turn in range(TURNS):
+        new = _confirmed(ordered(_outsiders(met, _roots(found), turn)), classes, docs, n, percent)
+        if new.isEmpty():
+            break
+        found = found.unionByName(new)
+    return found
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
