@@ -196,7 +196,7 @@ class RedoReader(DataSourceReader):
             ts = header.first_time
             for number, offset, rec in records(block, header, self.check):
                 o = header.order
-                wrap, base, sub = struct.unpack_from(o + "HIH", rec, 6) if o == ">" else struct.unpack_from("<HIH", rec, 6)
+                wrap, base, sub = struct.unpack_from(o + "HIH", rec, 6)
                 at = base | wrap << 32
                 if rec[4] & 0x04:
                     ts = struct.unpack_from(o + "I", rec, 64)[0]
