@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import prepare, saved, table
+from tidelog.llm.common import lean, prepare, saved, table
 
 _EVENT = "conv_id long, turn long, role string, part int, kind string, call_id string, name string, arguments string, content string, cites array<string>"
 
@@ -120,7 +120,7 @@ def parse_events(messages: DataFrame) -> DataFrame:
             rows = [{"conv_id": c, "turn": t, "role": r, "cites": []} | e for c, t, r, x in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True) for e in _parse(r, x)]
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return messages.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string")).mapInArrow(run, _EVENT)
+    return messages.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string")).mapInArrow(lean(run), _EVENT)
 
 
 def turn_pairs(events: DataFrame, tool: str = "respond") -> DataFrame:
@@ -196,7 +196,7 @@ def format_events(linked: DataFrame, schemas: dict[str, Any], raw_argument: str
             yield pa.RecordBatch.from_arrays([*keep, pa.array(ok, pa.bool_()), pa.array(out, pa.string())], list("abcdefghijkl"))
 
     raw = linked if "_raw" in linked.columns else linked.withColumn("_raw", F.lit(False))
-    return raw.mapInArrow(run, "conv_id long, turn long, role string, part int, kind string, call_id string, linked_turn long, status string, order_turn long, level int, valid boolean, canonical string")
+    return raw.mapInArrow(lean(run), "conv_id long, turn long, role string, part int, kind string, call_id string, linked_turn long, status string, order_turn long, level int, valid boolean, canonical string")
 
 
 #: The tool that plain turns are taken to call.

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import textnum as T
-from tidelog.llm.common import prepare, saved, table
+from tidelog.llm.common import lean, prepare, saved, table
 
 WINDOW = 10
 #: Windows broadcast at once: at about 100 bytes each, some 50 MB.
@@ -155,7 +155,7 @@ def hits(docs: DataFrame, windows: WindowSet, id_col: str = "doc_id", text_col:
     rest = [c for c in docs.columns if c.startswith("_c")]
     kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in rest)
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, F.col(text_col).cast("string"), *old, *rest).mapInArrow(run, f"`{id_col}` {kind}, n_words long, n_hit long, items array<string>, spans array<struct<start: long, end: long>>{kinds}")
+    return docs.select(id_col, F.col(text_col).cast("string"), *old, *rest).mapInArrow(lean(run), f"`{id_col}` {kind}, n_words long, n_hit long, items array<string>, spans array<struct<start: long, end: long>>{kinds}")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, block: int = BLOCK_WINDOWS) -> DataFrame:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import prepare, saved, table
+from tidelog.llm.common import lean, prepare, saved, table
 
 MIN_CLASS, MIN_PAGES = 2, 3
 #: Template tokens broadcast at most (16 bytes each); more are joined by host.
@@ -211,7 +211,7 @@ def occurrence_vectors(pages: DataFrame, html_col: str = "html", url_col: str =
                     host.append(h), key.append(k), token.append(t), kind.append(text), depth.append(d), seen.append(c)
             yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(key, pa.int64()), pa.array(token, pa.int64()), pa.array(kind, pa.bool_()), pa.array(depth, pa.int32()), pa.array(seen, pa.int32())], list("abcdef"))
 
-    rows = pages.select(_host(url_col).alias("host"), F.xxhash64(id_col, url_col).alias("page"), F.col(html_col).cast("string").alias("html")).mapInArrow(run, "host string, page long, token long, is_text boolean, depth int, seen int")
+    rows = pages.select(_host(url_col).alias("host"), F.xxhash64(id_col, url_col).alias("page"), F.col(html_col).cast("string").alias("html")).mapInArrow(lean(run), "host string, page long, token long, is_text boolean, depth int, seen int")
     return rows.groupBy("host", "token", "is_text", "depth").agg(F.count("*").alias("n_pages"), F.sum("seen").alias("n_seen"), F.bit_xor(F.xxhash64("page", "seen")).alias("vector"))
 
 
@@ -242,7 +242,7 @@ def extract_text(pages: DataFrame, html_col: str = "html", url_col: str = "url",
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(np.array([len(x) for x in texts], dtype=np.int64))], list("abcd"))
 
     kinds = {c: pages.schema[c].dataType.simpleString() for c in (id_col, url_col)}
-    return joined.select(id_col, url_col, "html", "tokens").mapInArrow(run, f"`{id_col}` {kinds[id_col]}, `{url_col}` {kinds[url_col]}, text string, n_chars long")
+    return joined.select(id_col, url_col, "html", "tokens").mapInArrow(lean(run), f"`{id_col}` {kinds[id_col]}, `{url_col}` {kinds[url_col]}, text string, n_chars long")
 
 
 def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import textnum as T
-from tidelog.llm.common import prepare, saved, table
+from tidelog.llm.common import lean, prepare, saved, table
 from tidelog.llm.components import components, small_side
 
 SKETCH, RUN, LEADERS, SMALL_LIST, WIDE, HUBS, TURNS, SLACK = 32, 3, 3, 16, 10, 8, 6, 0.3
@@ -96,7 +96,7 @@ def sketches(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "t
                 h, first = _sets(buf, offsets, n)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(np.diff(first).astype(np.int64)), pa.array(_node(h, first)), _lists(h, first, None if full else SKETCH)], list("abcd"))
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, n_shingles long, node long, sketch array<long>")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(lean(run), "doc_id long, n_shingles long, node long, sketch array<long>")
 
 
 def _postings(classes: DataFrame) -> DataFrame:

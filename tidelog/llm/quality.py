@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import textnum as T
-from tidelog.llm.common import prepare, table
+from tidelog.llm.common import lean, prepare, table
 
 #: Rows of labels used at most, and the number of hash buckets.
 LABEL_BOUND, BUCKETS = 20_000, 1 << 14
@@ -66,7 +66,7 @@ def ngram_counts(docs: DataFrame, trusted: np.ndarray, id_col: str, text_col: st
         if len(some):
             yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(raw[some]), pa.array(target[some])], ["bucket", "raw", "target"])
 
-    parts = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(count, "bucket int, raw long, target long")
+    parts = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(lean(count), "bucket int, raw long, target long")
     rows = parts.groupBy("bucket").agg(F.sum("raw"), F.sum("target")).collect()
     raw, target = np.zeros(buckets), np.zeros(buckets)
     for b, r, t in rows:
@@ -82,7 +82,7 @@ def log_ratio(raw: np.ndarray, target: np.ndarray, alpha: float = ALPHA) -> np.n
     return p(target) - p(raw)
 
 
-def _measure(batches: Iterator[pa.RecordBatch], weights: np.ndarray, threshold: float) -> Iterator[pa.RecordBatch]:
+def _measure(batches: Iterator[pa.RecordBatch], weights: np.ndarray, threshold: float, keep_text: bool = False) -> Iterator[pa.RecordBatch]:
     """Columns 0 (id) and 1 (text) of each batch to the rows of ``quality_scores``."""
     for b in batches:
         for lo, hi, buf, offsets in T.text_slices(b.column(1)):
@@ -104,8 +104,8 @@ def _measure(batches: Iterator[pa.RecordBatch], weights: np.ndarray, threshold:
             failed = (n_words < MIN_WORDS) | (100 * repeated > 50 * n_words)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).slice(lo, n), pa.array(n_words.astype(np.int64)), pa.array(chars[offsets[1:]] - chars[offsets[:-1]]), pa.array(signs[offsets[1:]] - signs[offsets[:-1]]),
-                 pa.array(T.row_sums(ln.row[worded][again], n)), pa.array(repeated), pa.array(failed), pa.array(score), pa.array(~failed & (score >= threshold)), *(b.column(i).slice(lo, n) for i in range(2, b.num_columns))],
-                [str(i) for i in range(9 + b.num_columns - 2)],
+                 pa.array(T.row_sums(ln.row[worded][again], n)), pa.array(repeated), pa.array(failed), pa.array(score), pa.array(~failed & (score >= threshold)), *([b.column(1).slice(lo, n)] if keep_text else []), *(b.column(i).slice(lo, n) for i in range(2, b.num_columns))],
+                [str(i) for i in range(9 + keep_text + b.num_columns - 2)],
             )
 
 
@@ -138,19 +138,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # the sample has at most ``bound`` ids, which bounds the broadcast
     chosen = docs.sparkSession.createDataFrame([(int(i), bool(g)) for i, g in zip(ids, good, strict=True)], "label_id long, good boolean")
     some = docs.join(F.broadcast(chosen), docs[id_col].cast("long") == chosen.label_id).select("label_id", F.col(text_col).cast("string"), "good")
-    scored = some.mapInArrow(lambda it: _measure(it, weights, 0.0), f"label_id long, {_OUT}, good boolean")
+    scored = some.mapInArrow(lean(lambda it: _measure(it, weights, 0.0)), f"label_id long, {_OUT}, good boolean")
     # the base rule rejects its own, and says nothing of the ratio
     seen = scored.where("not base_failed").groupBy("label_id", "good").agg(F.min("llr").alias("llr")).collect()
     return weights, choose_threshold(np.array([r.llr for r in seen]), np.array([r.good for r in seen], dtype=bool)) if seen else -np.inf
 
 
-def quality_scores(docs: DataFrame, weights: np.ndarray, threshold: float, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """A row for each document: the base counts, score ``llr``, and ``kept``; ``carry`` columns follow."""
+def quality_scores(docs: DataFrame, weights: np.ndarray, threshold: float, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, keep_text: bool = False) -> DataFrame:
+    """A row for each document: the base counts, score ``llr``, and ``kept``; the text (as ``_text``) and ``carry`` columns follow."""
     prepare(docs.sparkSession)
     carry = carry or []
     out = docs.select(F.col(id_col), F.col(text_col).cast("string"), *carry)
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
-    return out.mapInArrow(lambda it: _measure(it, weights, threshold), f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, {_OUT}" + (f", {kinds}" if kinds else ""))
+    return out.mapInArrow(lean(lambda it: _measure(it, weights, threshold, keep_text)), f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, {_OUT}" + ", _text string" * keep_text + (f", {kinds}" if kinds else ""))
 
 
 def op1_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,6 +162,8 @@ def filter_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """The documents that the rules keep, with their own columns."""
     names = docs.columns
     weights, threshold = fit(docs, table(spark, sf_dir, "labels"))
-    renamed = docs.select("doc_id", "text", *(F.col(c).alias(f"_c{i}") for i, c in enumerate(names)))
-    kept = quality_scores(renamed, weights, threshold, carry=[f"_c{i}" for i in range(len(names))])
-    return kept.where("kept").select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(names)))
+    # any name of the input may clash with the measures, so its columns travel under others
+    rest = {c: f"_c{i}" for i, c in enumerate(names) if c != "text"}
+    renamed = docs.select("doc_id", "text", *(F.col(c).alias(n) for c, n in rest.items()))
+    kept = quality_scores(renamed, weights, threshold, carry=list(rest.values()), keep_text=True)
+    return kept.where("kept").select(*(F.col(rest.get(c, "_text")).alias(c) for c in names))

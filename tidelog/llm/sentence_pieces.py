@@ -35,12 +35,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import textnum as T
-from tidelog.llm.common import prepare, table
+from tidelog.llm.common import lean, prepare, table
 
 MARK = "▁"
 LONG_WORD = 64
 #: Distinct words whose pieces a worker remembers; only a cache.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 200_000
 #: A character that no piece covers costs this much more than the worst piece.
 UNKNOWN_PENALTY = 10.0
 
@@ -98,6 +98,7 @@ class PieceModel:
         ends = np.cumsum([len(x) for x in raw]).astype(np.int64)
         h = T.range_hash(T.prefix_hash(buf), ends - [len(x) for x in raw], ends)
         order = np.argsort(h)
+        self.ranks = self.scores.astype(np.float32)  # merge ranks are small whole numbers
         self.keys, self.key_ids = h[order], usable[order].astype(np.int32)
         self.bucket = np.searchsorted(self.keys >> np.uint64(64 - _BUCKET_BITS), np.arange((1 << _BUCKET_BITS) + 1)).astype(np.int32)
         self.longest = max((len(self.pieces[i]) for i in usable), default=1)
@@ -172,7 +173,7 @@ class PieceModel:
     def _merge(self, table: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(words, their boundaries) as BPE merges finish."""
         n, size, widest = table.shape
-        rank = np.where(table >= 0, self.scores[table], -np.inf)
+        rank = np.where(table >= 0, self.ranks[table], np.float32(-np.inf))
         rows, cuts = np.arange(n), np.broadcast_to(np.arange(size + 1), (n, size + 1)).copy()
         while len(rows):
             if cuts.shape[1] <= 2:
@@ -287,8 +288,8 @@ class PieceModel:
                 for i in mine.tolist():
                     spelled(i, self._long(buf[start[i] : end[i]].tobytes().decode()))
                 continue
-            # a bound on the table: about 30 MB
-            step = max(1, 4_000_000 // int(size * min(size, self.longest)))
+            # a bound on the tables: about 10 MB
+            step = max(1, 700_000 // int(size * min(size, self.longest)))
             for part in (mine[k : k + step] for k in range(0, len(mine), step)):
                 edge = places[first[part][:, None] + np.arange(size + 1)]
                 pieces = np.full((len(part), size, min(size, self.longest)), -1, dtype=np.int32)
@@ -354,7 +355,7 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, first id of each text and the total)."""
         ids, sizes = [], []
-        for _, _, buf, offsets in T.text_slices(pa.array([self.model.prepare(t) for t in texts], pa.large_string())):
+        for _, _, buf, offsets in T.text_slices(pa.array([self.model.prepare(t) for t in texts], pa.large_string()), T.SLICE_BYTES):
             prefix = T.prefix_hash(buf)
             mark = np.zeros(len(buf) + 3, dtype=bool)
             if len(buf) > 2:
@@ -401,7 +402,7 @@ def encode_table(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(first)), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids)), pa.array(digest, pa.string()), pa.array(back, pa.bool_())], list("abcde"))
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"`{id_col}` {kind}, n_pieces long, ids array<int>, ids_sha256 string, round_trip boolean")
+    return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(lean(run), f"`{id_col}` {kind}, n_pieces long, ids array<int>, ids_sha256 string, round_trip boolean")
 
 
 def op10_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import textnum as T
-from tidelog.llm.common import prepare, saved, table
+from tidelog.llm.common import lean, prepare, saved, table
 from tidelog.llm.components import small_side
 
 LENGTH, GRAM = 200, 64
@@ -385,11 +385,11 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
     """(uid, ranges) of each text with repeats, from docs (uid, text) with one row a text."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, math.ceil(size / shard_bytes))
-    sent = docs.select("uid", "text").mapInArrow(lambda it: _first_pass(it, shards, length, gram), "shard int, kind int, data binary")
+    sent = docs.select("uid", "text").mapInArrow(lean(lambda it: _first_pass(it, shards, length, gram)), "shard int, kind int, data binary")
     found = saved(sent.repartition(shards, "shard").groupBy("shard").applyInArrow(lambda t: _merge_segments(t, length), _FOUND_SQL), "segments")
     needs = found.where(f"kind = {_K_NEED}").groupBy("uid").agg(F.collect_list(F.struct("start", F.col("end").alias("n"), "mode", "key")).alias("needs"))
     needy = docs.join(_by_length(needs, "needs"), "uid").select("uid", "text", "needs")
-    windows = needy.mapInArrow(lambda it: _second_pass(it, shards, length), "shard int, kind int, data binary")
+    windows = needy.mapInArrow(lean(lambda it: _second_pass(it, shards, length)), "shard int, kind int, data binary")
     more = windows.repartition(shards, "shard").groupBy("shard").applyInArrow(lambda t: _merge_windows(t, length), _FOUND_SQL)
     every = found.where(f"kind = {_K_RANGE}").select("uid", "start", "end").unionByName(more.select("uid", "start", "end"))
     return saved(every.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("ranges")), "ranges")
@@ -439,7 +439,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_co
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digest, pa.string()), pa.array(kept, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], list("abcdef"))
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return joined.mapInArrow(cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, ranges array<struct<start: long, end: long>>")
+    return joined.mapInArrow(lean(cut), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, ranges array<struct<start: long, end: long>>")
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once in one worker (a longer single text is handled alone).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 _U64 = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240229))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import textnum as T
-from tidelog.llm.common import prepare, table
+from tidelog.llm.common import lean, prepare, table
 
 CHUNK_CHARS, OVERLAP_CHARS, LIMIT = 32_768, 256, 512
 
@@ -112,7 +112,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = LIMIT, id_col: st
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(np.diff(offsets)), pa.array(count), pa.array(count > limit)], list("abcd"))
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(lean(run), f"`{id_col}` {kind}, n_bytes long, n_tokens long, over_limit boolean")
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
