@@ -81,6 +81,23 @@ def _pack(a: np.ndarray) -> bytes:
     return zlib.compress(a.astype(np.uint32).tobytes(), 1)
 
 
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys as differences, in as few bytes each as the largest difference needs."""
+    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
+    width = max(1, (int(steps[1:].max()).bit_length() + 7) // 8) if len(steps) > 1 else 1
+    body = np.ascontiguousarray(steps[1:].view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+    return bytes([width]) + steps[:1].tobytes() + body
+
+
+def _unpack_keys(data: bytes) -> np.ndarray:
+    width = data[0]
+    body = np.frombuffer(data, dtype=np.uint8, offset=9).reshape(-1, width)
+    steps = np.zeros((len(body) + 1, 8), dtype=np.uint8)
+    steps[0] = np.frombuffer(data, dtype=np.uint8, count=8, offset=1)
+    steps[1:, :width] = body
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
+
+
 class Automaton:
     """The part of the automaton that some texts reach, from corpus counts of their n-grams."""
 
@@ -147,7 +164,7 @@ def lm_scores(docs: DataFrame, order: int = ORDER, mu: float = MU, id_col: str =
             for s in range(shards):
                 a, b = cuts[s], cuts[s + 1]
                 if a < b:
-                    for k, v in (("shard", s), ("block", t["block"][0].as_py()), ("n", m + 1), ("keys", g.keys[m][a:b].tobytes()), ("counts", _pack(g.counts[m][a:b]))):
+                    for k, v in (("shard", s), ("block", t["block"][0].as_py()), ("n", m + 1), ("keys", _pack_keys(g.keys[m][a:b])), ("counts", _pack(g.counts[m][a:b]))):
                         out[k].append(v)
         return pa.table(out, schema=pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
 
@@ -156,7 +173,7 @@ def lm_scores(docs: DataFrame, order: int = ORDER, mu: float = MU, id_col: str =
         number = t["n"].to_numpy()
         for m in np.unique(number):
             rows = np.flatnonzero(number == m)
-            parts = [np.frombuffer(t["keys"][int(r)].as_py(), dtype=np.uint64) for r in rows]
+            parts = [_unpack_keys(t["keys"][int(r)].as_py()) for r in rows]
             keys, which = np.unique(np.concatenate(parts), return_inverse=True)
             own = np.concatenate([np.frombuffer(zlib.decompress(t["counts"][int(r)].as_py()), dtype=np.uint32) for r in rows])
             count = np.zeros(len(keys), dtype=np.int64)
