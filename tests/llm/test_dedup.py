@@ -144,6 +144,17 @@ def test_line_dedup_is_native_and_takes_odd_rows(spark, odd, none):
     assert texts[1] is None and texts[2] == "" and 5 in texts and 6 not in texts
 
 
+def removed_here(docs):
+    rows = line_dedup.dedup_lines(docs).select("_row.doc_id", "_gone").collect()
+    return {r.doc_id: r._gone for r in rows if r._gone}
+
+
+def test_line_dedup_of_repeated_content(spark):
+    rows = list(enumerate(["-" * k for k in range(16, 80, 4)] + ["ha " * k + "ha" for k in (9, 20, 60)] + ["a line of its own that nothing else repeats"]))
+    want = {d: len(x) for d, x in line_brute(rows).items()}
+    assert len(want) == 17 and removed_here(spark.createDataFrame(rows, "doc_id long, text string")) == want
+
+
 def passages_brute(texts, k=200):
     enc = [(t or "").encode() for t in texts]
     seen = defaultdict(list)
