@@ -155,6 +155,22 @@ def test_line_dedup_of_repeated_content(spark):
     assert len(want) == 17 and removed_here(spark.createDataFrame(rows, "doc_id long, text string")) == want
 
 
+@pytest.mark.parametrize("turns", [0, 4])
+def test_line_dedup_of_many_variants_of_a_line(spark, monkeypatch, turns):
+    monkeypatch.setattr(line_dedup, "TURNS", turns, raising=False)
+    monkeypatch.setattr(line_dedup, "BLOCK", 50, raising=False)
+    rng = random.Random(4)
+    base = [f"{rng.choice('bcdfg')}{rng.choice('aeiou')}{rng.randrange(1000)}" for _ in range(60)]
+    rows = []
+    for d in range(120):
+        w = list(base)
+        for _ in range(rng.randrange(2, 6)):
+            w[rng.randrange(60)] = f"z{rng.randrange(10**5)}"
+        rows.append((d, " ".join(w)))
+    want = {d: len(x) for d, x in line_brute(rows).items()}
+    assert 15 < len(want) and removed_here(spark.createDataFrame(rows, "doc_id long, text string")) == want
+
+
 def passages_brute(texts, k=200):
     enc = [(t or "").encode() for t in texts]
     seen = defaultdict(list)
