@@ -70,6 +70,23 @@ def test_near_dup_large_groups_and_common_passage(spark):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(docs, 3, 85).collect()}
     assert got == near_brute(rows, 3, 85)
 
+def test_near_dup_without_turns_is_whole(spark, monkeypatch):
+    """The last step finds what leaders and hubs leave, in lists of a common passage and of a large group."""
+    monkeypatch.setattr(near_dup, "TURNS", 0)
+    monkeypatch.setattr(near_dup, "BLOCK", 20, raising=False)
+    rng = random.Random(8)
+    passage = " ".join(f"p{k}" for k in range(300))
+    texts = list(variants(rng, 80, 100, 9))
+    for _ in range(40):
+        own = [f"q{rng.randrange(10**6)}" for _ in range(40)]
+        texts.append(passage + " " + " ".join(own))
+        own[rng.randrange(40)] = "other"
+        texts.append(passage + " " + " ".join(own))
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(docs, 3, 85).collect()}
+    assert got == near_brute(rows, 3, 85)
+
 
 def test_near_dup_odd_and_empty(spark, odd, none):
     out = near_dup.near_duplicates(odd, 5, 80).collect()

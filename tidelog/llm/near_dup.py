@@ -12,10 +12,12 @@ own, and its ``HUBS`` members of most weight (the summed length of their lists),
 nearest to what a group has in common (other ones in each of up to ``TURNS`` turns, until a
 turn finds nothing).  What is then outside a list's largest component meets the whole list: in lists of
 at most ``SMALL_LIST`` members always, in longer ones where three quarters of the list are one
-component (a group of near copies), each such member in the ``WIDE`` shortest of them.  So work
-stays in proportion to the postings, and a member of a large group finds even a single link;
-in long lists of documents that share a common passage only, leaders decide, and near copies
-among those have other lists of their own.
+component (a group of near copies), each such member in the ``WIDE`` shortest of them.
+
+Turns save work only.  Afterwards the members of all lists that still span several components
+take part in a prefix-filter join over their full sets (rarest shingles first, positions
+checked, long lists in salted blocks), which meets every linked pair among them that is apart.
+So no link between documents that share a list is left out, common passages or not.
 
 Candidates pass a size filter and the union-sketch estimate (``SLACK`` below the threshold,
 over four standard deviations), and links are confirmed on the full sets.
@@ -40,6 +42,8 @@ from tidelog.llm.common import lean, prepare, saved, table
 from tidelog.llm.components import components, small_side
 
 SKETCH, RUN, LEADERS, SMALL_LIST, WIDE, HUBS, TURNS, SLACK = 32, 3, 3, 16, 10, 8, 6, 0.3
+#: Postings of one salted block of a shingle, about.
+BLOCK = 256
 
 
 def _sets(buf: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,11 +114,20 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, pe
     one, two = (classes.select(F.col("node").alias(x), F.col("sketch").alias(f"s{x}")) for x in "ab")
     union = f"slice(array_sort(array_union(sa, sb)), 1, {SKETCH})"
     likely = pairs.join(one, "a").join(two, "b").where(F.expr(f"size(array_intersect({union}, array_intersect(sa, sb))) >= size({union}) * {percent / 100 - SLACK}")).select("a", "b")
-    likely = saved(likely, "likely")
-    nodes = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
+    return _checked(saved(likely, "likely"), classes, docs, n, percent)
+
+
+def _full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """(node, set) of nodes, each once."""
     reps = classes.join(small_side(nodes), "node").select(F.col("rep_id").alias("_rep"), F.col("node").alias("_node"))
     texts = docs.join(small_side(reps), F.col("doc_id").cast("long").eqNullSafe(F.col("_rep"))).select("doc_id", "text").where("text is not null")
-    sets = saved(sketches(texts, n, full=True).select("node", F.col("sketch").alias("set")).join(small_side(nodes), "node", "left_semi").dropDuplicates(["node"]), "sets")
+    return saved(sketches(texts, n, full=True).select("node", F.col("sketch").alias("set")).join(small_side(nodes), "node", "left_semi").dropDuplicates(["node"]), "sets")
+
+
+def _checked(likely: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of likely whose full sets are linked."""
+    nodes = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
+    sets = _full_sets(nodes, classes, docs, n)
     one, two = (sets.select(F.col("node").alias(x), F.col("set").alias(f"s{x}")) for x in "ab")
     both = likely.join(one, "a").join(two, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
     return saved(both.where(f"100 * common >= {percent} * (size(sa) + size(sb) - common)").select("a", "b"), "links")
@@ -147,6 +160,31 @@ def _outsiders(met: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
     return asked.join(named.select("key", F.col("b").alias("a"), F.col("nb").alias("na"), F.col("root").alias("other")), "key").where("root <> other").select("a", "na", "b", "nb").unionByName(to_hubs)
 
 
+def _rest(met: DataFrame, roots: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Pairs (a, b) apart, among the members of lists that span several components, that the prefix filter cannot rule out.
+
+    In one order of all shingles, linked sets of x <= y shingles have their first common one among
+    the first x - ceil(2px / (100 + p)) + 1 of the one and the first y - ceil(py / 100) + 1 of the other.
+    """
+    named = met.where("members > 2").select("key", "b").join(small_side(roots.select(F.col("node").alias("b"), "root")), "b", "left").withColumn("root", F.coalesce("root", "b"))
+    several = named.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
+    open_ = saved(named.join(several, "key", "left_semi").select(F.col("b").alias("node"), "root").distinct(), "open")
+    sets = _full_sets(open_.select("node"), classes, docs, n)
+    # a shingle of one set only is met by none, but comes first in the order
+    shingles = saved(sets.select("node", F.size("set").alias("n"), F.explode("set").alias("s")), "shingles")
+    common = saved(shingles.groupBy("s").agg(F.count("*").alias("df")).where("df > 1"), "common")
+    first = shingles.join(small_side(common), "s").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("xs")).withColumn("own", F.expr("n - size(xs)"))
+    probe = f"n - ((n * {percent} + 99) div 100) + 1"
+    at = first.where(f"{probe} > own").select("node", "n", "own", F.posexplode(F.expr(f"slice(xs, 1, cast({probe} - own as int))")).alias("i", "x"))
+    at = at.select("node", "n", F.expr("own + i").alias("at"), "x.s", F.expr(f"cast(ceil(x.df / {BLOCK}) as int)").alias("blocks")).join(open_, "node")
+    posts = saved(at.select("node", "n", "at", "s", "blocks", "root"), "prefixes")
+    index = f"at <= n - ((2 * {percent} * n + {99 + percent}) div {100 + percent})"
+    side = lambda df, x, block: df.select("s", block.alias("block"), *(F.col(c).alias(f"{c}{x}") for c in ("node", "n", "at", "root")))
+    one, two = side(posts.where(index), "a", F.expr("pmod(xxhash64(node), blocks)").cast("int")), side(posts, "b", F.explode(F.expr("sequence(0, blocks - 1)")))
+    linkable = f"na <= nb and nodea <> nodeb and roota <> rootb and 100 * na >= {percent} * nb and {100 + percent} * least(na - ata, nb - atb) >= {percent} * (na + nb)"
+    return one.join(two, ["s", "block"]).where(linkable).select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")).distinct()
+
+
 def links(docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
     """Confirmed links (a, b) between classes, enough of them to join every component."""
     ordered = lambda df: df.where("a <> b").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -162,7 +200,7 @@ def links(docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFram
         if new.isEmpty():
             break
         found = found.unionByName(new)
-    return found
+    return found.unionByName(_checked(saved(_rest(met, _roots(found), classes, docs, n, percent), "rest"), classes, docs, n, percent))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
