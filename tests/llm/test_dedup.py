@@ -88,6 +88,17 @@ def test_near_dup_without_turns_is_whole(spark, monkeypatch):
     assert got == near_brute(rows, 3, 85)
 
 
+def test_near_dup_of_very_small_sets(spark):
+    rng = random.Random(9)
+    texts = []
+    for _ in range(60):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(9)]
+        texts += [" ".join(w), " ".join(w[:8])]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == near_brute(rows, 5, 80)
+
+
 def test_near_dup_odd_and_empty(spark, odd, none):
     out = near_dup.near_duplicates(odd, 5, 80).collect()
     assert len(out) == 11 and near_dup.near_duplicates(none).count() == 0

@@ -103,9 +103,20 @@ def sketches(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "t
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(lean(run), "doc_id long, n_shingles long, node long, sketch array<long>")
 
 
-def _postings(classes: DataFrame) -> DataFrame:
-    """(key, node, n) for each run of retained values; sets too small to differ and still link have none."""
-    keys = F.expr(f"transform(sequence(0, greatest(size(sketch) - {RUN}, 0)), i -> xxhash64(slice(sketch, i + 1, {RUN})))")
+def _short(percent: int, run: int) -> int:
+    """Most values of a union of linked sets, up to twice ``SKETCH``, whose sets may share no run of that many values; 0 for none.
+
+    The values that the sets do not share cut those that they do into one more piece.
+    """
+    apart = lambda u: u * (100 - percent) // 100
+    return max((u for u in range(1, 2 * SKETCH + 1) if apart(u) and u - apart(u) < (run - 1) * (apart(u) + 1) + 1), default=0)
+
+
+def _postings(classes: DataFrame, percent: int) -> DataFrame:
+    """(key, node, n) for each run of retained values, and for shorter runs in sets so small that linked ones may share none of ``RUN``."""
+    runs = lambda r: f"transform(sequence(0, greatest(size(sketch) - {r}, 0)), i -> xxhash64(slice(sketch, i + 1, {r})))"
+    short = [f"case when n_shingles <= {min(_short(percent, r + 1), SKETCH)} then {runs(r)} else array() end" for r in range(RUN - 1, 0, -1) if _short(percent, r + 1)]
+    keys = F.expr(f"array_distinct(concat({', '.join([runs(RUN), *short])}))" if short else runs(RUN))
     return classes.select("node", F.col("n_shingles").alias("n"), F.explode(keys).alias("key"))
 
 
@@ -189,9 +200,9 @@ def links(docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFram
     """Confirmed links (a, b) between classes, enough of them to join every component."""
     ordered = lambda df: df.where("a <> b").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     own = [F.min(F.struct(F.xxhash64("node", "key", F.lit(k)).alias("o"), "node", "n")).alias(f"l{k}") for k in range(1, LEADERS + 1)]
-    leaders = _postings(classes).groupBy("key").agg(F.count("*").alias("members"), F.min(F.struct("node", "n")).alias("l0"), *own).where("members > 1")
+    leaders = _postings(classes, percent).groupBy("key").agg(F.count("*").alias("members"), F.min(F.struct("node", "n")).alias("l0"), *own).where("members > 1")
     # postings of shared lists, each with its list's leaders
-    met = saved(_postings(classes).join(leaders, "key").select("key", "members", F.col("node").alias("b"), F.col("n").alias("nb"), *(F.struct(f"l{k}.node", f"l{k}.n").alias(f"l{k}") for k in range(LEADERS + 1))), "postings")
+    met = saved(_postings(classes, percent).join(leaders, "key").select("key", "members", F.col("node").alias("b"), F.col("n").alias("nb"), *(F.struct(f"l{k}.node", f"l{k}.n").alias(f"l{k}") for k in range(LEADERS + 1))), "postings")
     found = _confirmed(ordered(met.select("b", "nb", F.col("l0.node").alias("a"), F.col("l0.n").alias("na"))), classes, docs, n, percent)
     others = met.where("members > 2").select("b", "nb", F.explode(F.array(*(f"l{k}" for k in range(1, LEADERS + 1)))).alias("l")).select("b", "nb", F.col("l.node").alias("a"), F.col("l.n").alias("na"))
     found = found.unionByName(_confirmed(_apart(ordered(others), _roots(found)), classes, docs, n, percent))
