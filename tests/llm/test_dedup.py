@@ -107,6 +107,13 @@ def test_near_dup_odd_and_empty(spark, odd, none):
     assert left.columns == odd.columns and sorted(r.doc_id for r in left.collect() if r.doc_id is not None) == [1, 2, 3, 4, 5, 7, 8, 9]
 
 
+def test_near_dedup_stage_with_repeated_and_null_ids(spark):
+    one, two, own = (" ".join(f"{c}{k}" for k in range(30)) for c in "abc")
+    rows = [(0, one), (1, one), (1, own), (None, two), (None, two), (2, ""), (2, "")]
+    left = near_dup.dedup_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted([(0, one), (1, own), (None, two), (2, "")], key=str)
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 160)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)] + [(7, 7)]

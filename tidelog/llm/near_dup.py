@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import textnum as T
@@ -91,16 +91,22 @@ def _node(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     return T.mix64(_sum_by_row(T.mix64(u + np.uint64(1)), first) ^ (_sum_by_row(T.mix64(u ^ np.uint64(0x5851F42D4C957F2D)), first) * np.uint64(3))).view(np.int64)
 
 
-def sketches(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text", full: bool = False) -> DataFrame:
-    """(doc_id, n_shingles, node, sketch) of every row; ``full``: the whole set in place of the sketch."""
+def _uid() -> Column:
+    """The key of a row by its id and text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("uid")
+
+
+def sketches(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text", full: bool = False, key_col: str | None = None) -> DataFrame:
+    """(doc_id, n_shingles, node, sketch) of every row, and key_col if asked for; ``full``: the whole set in place of the sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, buf, offsets in T.text_slices(b.column(1)):
                 h, first = _sets(buf, offsets, n)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(np.diff(first).astype(np.int64)), pa.array(_node(h, first)), _lists(h, first, None if full else SKETCH)], list("abcd"))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(np.diff(first).astype(np.int64)), pa.array(_node(h, first)), _lists(h, first, None if full else SKETCH), *(b.column(k).slice(lo, hi - lo) for k in range(2, b.num_columns))], list("abcde")[: 2 + b.num_columns])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(lean(run), "doc_id long, n_shingles long, node long, sketch array<long>")
+    key = [key_col] if key_col else []
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), *key).mapInArrow(lean(run), "doc_id long, n_shingles long, node long, sketch array<long>" + "".join(f", {k} long" for k in key))
 
 
 def _short(percent: int, run: int) -> int:
@@ -214,16 +220,21 @@ def links(docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFram
     return found.unionByName(_checked(saved(_rest(met, _roots(found), classes, docs, n, percent), "rest"), classes, docs, n, percent))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of docs (columns doc_id and text)."""
+def _grouped(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(doc_id, uid, n_shingles, root, least_id) of every row of docs; root and least_id are null where the set is empty."""
     prepare(docs.sparkSession)
-    rows = saved(sketches(docs, shingle), "sketches")
+    rows = saved(sketches(docs.select("doc_id", "text", _uid()), shingle, key_col="uid"), "sketches")
     classes = saved(rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("rep_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "classes")
     comp = saved(components(links(docs, classes, shingle, percent), "a", "b"), "components")
     named = comp.join(classes.select("node", "rep_id"), "node").groupBy("root").agg(F.min("rep_id").alias("least_id"))
-    linked = comp.join(named, "root").select("node", "least_id")
-    ids = classes.select("node", "rep_id").join(linked, "node", "left").select(F.col("node").alias("_n"), F.coalesce("least_id", "rep_id").alias("least_id"))
-    out = rows.join(ids, (F.col("node") == F.col("_n")) & (F.col("n_shingles") > 0), "left")
+    linked = comp.join(named, "root").select("node", "root", "least_id")
+    ids = classes.select("node", "rep_id").join(linked, "node", "left").select(F.col("node").alias("_n"), F.coalesce("root", "node").alias("root"), F.coalesce("least_id", "rep_id").alias("least_id"))
+    return rows.join(ids, (F.col("node") == F.col("_n")) & (F.col("n_shingles") > 0), "left").select("doc_id", "uid", "n_shingles", "root", "least_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of docs (columns doc_id and text)."""
+    out = _grouped(docs, shingle, percent)
     return out.select("doc_id", "n_shingles", F.coalesce("least_id", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
@@ -233,11 +244,12 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five words, 0.8), with its own columns."""
-    found = saved(near_duplicates(docs), "near")
-    gone = small_side(found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct())
-    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
-    again = found.where("kept").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_twice"))
-    if again.isEmpty():
+    found = saved(_grouped(docs, 5, 80).select("doc_id", "uid", "root"), "near")
+    # by the row's key, since an id may be null or stand on rows of different groups
+    keep = found.where("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("keep"))
+    gone = small_side(saved(found.join(keep, "root").where("uid <> keep.uid").select(F.col("uid").alias("_gone")).distinct(), "near-gone"))
+    left = docs.join(gone, _uid() == F.col("_gone"), "left_anti")
+    if found.groupBy("uid").count().where("count > 1").join(gone, F.col("uid") == F.col("_gone"), "left_anti").isEmpty():
         return left
-    # ids on several rows: of equal rows one stays, rows of different groups stay
-    return left.join(again, F.col("doc_id") == F.col("_twice"), "left").dropDuplicates(["doc_id", "text"]).drop("_twice")
+    # of equal rows one stays
+    return left.dropDuplicates(["doc_id", "text"])
