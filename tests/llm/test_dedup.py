@@ -70,10 +70,13 @@ def test_near_dup_large_groups_and_common_passage(spark):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(docs, 3, 85).collect()}
     assert got == near_brute(rows, 3, 85)
 
-def test_near_dup_without_turns_is_whole(spark, monkeypatch):
-    """The last step finds what leaders and hubs leave, in lists of a common passage and of a large group."""
+
+@pytest.mark.parametrize("open_", [0, 128])
+def test_near_dup_without_turns_is_whole(spark, monkeypatch, open_):
+    """The last step finds what leaders leave, in lists of a common passage and of a large group, by lists (128) or full sets (0)."""
     monkeypatch.setattr(near_dup, "TURNS", 0)
-    monkeypatch.setattr(near_dup, "BLOCK", 20, raising=False)
+    monkeypatch.setattr(near_dup, "OPEN", open_)
+    monkeypatch.setattr(near_dup, "BLOCK", 20)
     rng = random.Random(8)
     passage = " ".join(f"p{k}" for k in range(300))
     texts = list(variants(rng, 80, 100, 9))
@@ -114,6 +117,34 @@ def test_near_dedup_stage_with_repeated_and_null_ids(spark):
     assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted([(0, one), (1, own), (None, two), (2, "")], key=str)
 
 
+def test_near_dup_chains_and_inner_passages(spark):
+    """Copies of copies, whose ends are far apart, and pairs that differ in the middle of a passage that all share."""
+    rng = random.Random(12)
+    texts = []
+    for _ in range(6):
+        w = [f"w{rng.randrange(4000)}" for _ in range(60)]
+        for _ in range(25):
+            w[rng.randrange(60)] = f"z{rng.randrange(10**6)}"
+            texts.append(" ".join(w))
+    passage = [f"p{k}" for k in range(200)]
+    for _ in range(50):
+        w = passage + [f"q{rng.randrange(10**6)}" for _ in range(rng.randrange(10, 60))]
+        texts.append(" ".join(w))
+        w[rng.randrange(200)] = "x"
+        texts.append(" ".join(w))
+    rows = list(enumerate(texts))
+    for n, percent in ((3, 85), (5, 80)):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), n, percent).collect()}
+        assert got == near_brute(rows, n, percent)
+
+
+def test_near_dedup_stage_with_clashing_columns(spark):
+    one, own = (" ".join(f"{c}{k}" for k in range(30)) for c in "ab")
+    kind = "doc_id long, text string, _gone long, gone long, uid long, row string, root string"
+    left = near_dup.dedup_stage(spark, spark.createDataFrame([(0, one, 1, 2, 3, "r", "x"), (1, one, 4, 5, 6, "s", "y"), (2, own, 7, 8, 9, "t", "z")], kind), "")
+    assert sorted(map(tuple, left.collect())) == [(0, one, 1, 2, 3, "r", "x"), (2, own, 7, 8, 9, "t", "z")]
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 160)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)] + [(7, 7)]

@@ -1,35 +1,37 @@
 r"""MinHash near-dedup with bottom-k sketches from one hash function.
 
 A document's set is its distinct n-word shingles as 64-bit hashes.  Documents with equal sets
-form a class and are linked by that alone.  Each class keeps the ``SKETCH`` least hashes; the
-inverted lists are keyed by each run of ``RUN`` consecutive retained values, which two sets of
-similarity s share with probability 1 - O(x**SKETCH) (x = 0.63 at s = 0.85: a loss near 1e-6;
-0.70 at 0.8: near 1e-5), and always if they have at most ``SKETCH`` shingles.
-
-A list never emits its pairs.  Its members meet leaders: first the least under one order of
-all classes, then, only where components still differ, ``LEADERS`` of an order of the list's
-own, and its ``HUBS`` members of most weight (the summed length of their lists), which are
-nearest to what a group has in common (other ones in each of up to ``TURNS`` turns, until a
-turn finds nothing).  What is then outside a list's largest component meets the whole list: in lists of
-at most ``SMALL_LIST`` members always, in longer ones where three quarters of the list are one
-component (a group of near copies), each such member in the ``WIDE`` shortest of them.
-
-Turns save work only.  Afterwards the members of all lists that still span several components
-take part in a prefix-filter join over their full sets (rarest shingles first, positions
-checked, long lists in salted blocks), which meets every linked pair among them that is apart.
-So no link between documents that share a list is left out, common passages or not.
-
-Candidates pass a size filter and the union-sketch estimate (``SLACK`` below the threshold,
-over four standard deviations), and links are confirmed on the full sets.
+form a class and are linked by that alone.
+
+* Sketch: of a set of x hashes the k(x) = x - ceil(p x / 100) + 1 least.  Linked sets (p percent
+  or more of their union in common) lack so few of each other's values that they always share
+  one of these, so the inverted lists of retained values miss no link.
+* Estimate: of the m = least(k(a), k(b)) least values of the union of two sketches, the share in
+  both estimates the similarity.  A pair is ruled out where that share is so low that a linked
+  pair has it with probability under ``MISS`` (Hoeffding's bound, which also holds for sampling
+  without replacement).  A set that has too few retained values in lists with others for any
+  partner to pass is ruled out as a whole, before any pair is made.
+* Exact Jaccard on the full sets confirms every link.
+
+Nothing emits a list's pairs while its members may be one component.  First each member meets
+its list's least member, if they share enough lists.  From then on only lists that hold members
+of several components count, and only sets with enough values in such lists: a group of near
+copies that is one component, of whatever size, is done with.  Lists whose open pairs are many
+get fresh leaders for up to ``TURNS`` turns.  At last, every pair that is still apart is met:
+in lists of few open pairs directly, by salted blocks, size and position; the members of other
+lists (passages that many documents share) by a prefix filter over their full sets, whose
+shingles are ordered by the number of components that have them.  Turns save work only.
 
 Edge cases: a null or empty text has an empty set and links with nothing; texts of fewer
 words than a shingle are one shingle; null ids take part in classes but never name a
-component unless alone; repeated ids and rows are reported row by row; extra columns are
-ignored by ``near_duplicates`` and kept by the stage.
+component unless alone; repeated ids and rows are reported row by row; extra columns, whatever
+their names, are ignored by ``near_duplicates`` and kept by the stage, which decides by a
+row's id and text (so a null or repeated id loses no other text) and keeps one of equal rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,9 +43,12 @@ from tidelog.llm import textnum as T
 from tidelog.llm.common import lean, prepare, saved, table
 from tidelog.llm.components import components, small_side
 
-SKETCH, RUN, LEADERS, SMALL_LIST, WIDE, HUBS, TURNS, SLACK = 32, 3, 3, 16, 10, 8, 6, 0.3
-#: Postings of one salted block of a shingle, about.
-BLOCK = 256
+#: Probability at most that the estimate rules a linked pair out.
+MISS = 1e-9
+#: Turns of fresh leaders at most; open pairs for each member of a list from which on it gets them.
+TURNS, OPEN = 3, 128
+#: Postings of one salted block of a shingle, about, and values of a sketch that one estimate looks at.
+BLOCK, LOOKED_AT = 256, 128
 
 
 def _sets(buf: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -77,11 +82,13 @@ def _sum_by_row(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
-def _lists(h: np.ndarray, first: np.ndarray, most: int | None) -> pa.ListArray:
+def _lists(h: np.ndarray, first: np.ndarray, percent: int | None) -> pa.ListArray:
+    """Each row's values, or with ``percent`` those that its sketch retains."""
     size = np.diff(first)
-    if most is not None:
+    if percent is not None:
+        most = np.where(size > 0, size - (size * percent + 99) // 100 + 1, 0)
         rank = np.arange(len(h)) - np.repeat(first[:-1], size)
-        h, size = h[rank < most], np.minimum(size, most)
+        h, size = h[rank < np.repeat(most, size)], most
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(h))
 
 
@@ -96,54 +103,61 @@ def _uid() -> Column:
     return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("uid")
 
 
-def sketches(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text", full: bool = False, key_col: str | None = None) -> DataFrame:
-    """(doc_id, n_shingles, node, sketch) of every row, and key_col if asked for; ``full``: the whole set in place of the sketch."""
+def sketches(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text", percent: int | None = None, key_col: str | None = None) -> DataFrame:
+    """(doc_id, n_shingles, node, sketch) of every row, and key_col if asked for; without ``percent`` the sketch is the whole set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, buf, offsets in T.text_slices(b.column(1)):
                 h, first = _sets(buf, offsets, n)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(np.diff(first).astype(np.int64)), pa.array(_node(h, first)), _lists(h, first, None if full else SKETCH), *(b.column(k).slice(lo, hi - lo) for k in range(2, b.num_columns))], list("abcde")[: 2 + b.num_columns])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(np.diff(first).astype(np.int64)), pa.array(_node(h, first)), _lists(h, first, percent), *(b.column(k).slice(lo, hi - lo) for k in range(2, b.num_columns))], list("abcde")[: 2 + b.num_columns])
 
     key = [key_col] if key_col else []
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), *key).mapInArrow(lean(run), "doc_id long, n_shingles long, node long, sketch array<long>" + "".join(f", {k} long" for k in key))
 
 
-def _short(percent: int, run: int) -> int:
-    """Most values of a union of linked sets, up to twice ``SKETCH``, whose sets may share no run of that many values; 0 for none.
+def _retained(n: str, percent: int) -> str:
+    """SQL: values that the sketch of a set of n retains."""
+    return f"({n} - (({n}) * {percent} + 99) div 100 + 1)"
+
+
+def _least_shared(m: str, percent: int) -> str:
+    """SQL: of m values of a union, linked sets share at least so many, but with probability ``MISS``."""
+    return f"floor({m} * {percent / 100} - {math.sqrt(math.log(1 / MISS) / 2):.4f} * sqrt({m}))"
 
-    The values that the sets do not share cut those that they do into one more piece.
-    """
-    apart = lambda u: u * (100 - percent) // 100
-    return max((u for u in range(1, 2 * SKETCH + 1) if apart(u) and u - apart(u) < (run - 1) * (apart(u) + 1) + 1), default=0)
 
+def _side(df: DataFrame) -> DataFrame:
+    """df written once, and broadcast if it is small."""
+    return small_side(saved(df, "side"))
 
-def _postings(classes: DataFrame, percent: int) -> DataFrame:
-    """(key, node, n) for each run of retained values, and for shorter runs in sets so small that linked ones may share none of ``RUN``."""
-    runs = lambda r: f"transform(sequence(0, greatest(size(sketch) - {r}, 0)), i -> xxhash64(slice(sketch, i + 1, {r})))"
-    short = [f"case when n_shingles <= {min(_short(percent, r + 1), SKETCH)} then {runs(r)} else array() end" for r in range(RUN - 1, 0, -1) if _short(percent, r + 1)]
-    keys = F.expr(f"array_distinct(concat({', '.join([runs(RUN), *short])}))" if short else runs(RUN))
-    return classes.select("node", F.col("n_shingles").alias("n"), F.explode(keys).alias("key"))
+
+def _able(posts: DataFrame, percent: int) -> DataFrame:
+    """The postings (node, n, ...) of sets with enough of them for a partner of any size."""
+    enough = _least_shared(_retained(f"(({percent} * n + 99) div 100)", percent), percent)
+    able = posts.groupBy("node", "n").count().where(f"count >= {enough}").select("node")
+    return posts.join(_side(able), "node", "left_semi")
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose full sets are linked; estimates come first."""
-    one, two = (classes.select(F.col("node").alias(x), F.col("sketch").alias(f"s{x}")) for x in "ab")
-    union = f"slice(array_sort(array_union(sa, sb)), 1, {SKETCH})"
-    likely = pairs.join(one, "a").join(two, "b").where(F.expr(f"size(array_intersect({union}, array_intersect(sa, sb))) >= size({union}) * {percent / 100 - SLACK}")).select("a", "b")
-    return _checked(saved(likely, "likely"), classes, docs, n, percent)
+    one, two = (classes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n{x}"), F.slice("sketch", 1, LOOKED_AT).alias(f"s{x}")) for x in "ab")
+    both = pairs.join(one, "a").join(two, "b").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").withColumn("m", F.least(F.size("sa"), F.size("sb")))
+    least = both.withColumn("u", F.expr("slice(array_sort(array_union(sa, sb)), 1, m)"))
+    likely = least.where(f"size(array_intersect(array_intersect(u, sa), sb)) >= {_least_shared('m', percent)}").select("a", "b")
+    likely = saved(likely, "likely")
+    return likely if likely.isEmpty() else _checked(likely, classes, docs, n, percent)
 
 
 def _full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     """(node, set) of nodes, each once."""
     reps = classes.join(small_side(nodes), "node").select(F.col("rep_id").alias("_rep"), F.col("node").alias("_node"))
     texts = docs.join(small_side(reps), F.col("doc_id").cast("long").eqNullSafe(F.col("_rep"))).select("doc_id", "text").where("text is not null")
-    return saved(sketches(texts, n, full=True).select("node", F.col("sketch").alias("set")).join(small_side(nodes), "node", "left_semi").dropDuplicates(["node"]), "sets")
+    return saved(sketches(texts, n).select("node", F.col("sketch").alias("set")).join(small_side(nodes), "node", "left_semi").dropDuplicates(["node"]), "sets")
 
 
 def _checked(likely: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) of likely whose full sets are linked."""
-    nodes = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
+    nodes = saved(likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct(), "nodes")
     sets = _full_sets(nodes, classes, docs, n)
     one, two = (sets.select(F.col("node").alias(x), F.col("set").alias(f"s{x}")) for x in "ab")
     both = likely.join(one, "a").join(two, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
@@ -154,76 +168,78 @@ def _roots(links: DataFrame) -> DataFrame:
     return saved(components(links, "a", "b"), "components")
 
 
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different components so far."""
-    one, two = (small_side(roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}"))) for x in "ab")
-    return pairs.join(one, "a", "left").join(two, "b", "left").where("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b")
-
-
-def _outsiders(met: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, na, b, nb) of what is outside the largest component of a list with the list's members of other components."""
-    side = small_side(roots.select(F.col("node").alias("b"), "root"))
-    named = saved(met.where("members > 2").select("key", "members", "b", "nb").join(side, "b", "left").withColumn("root", F.coalesce("root", "b")), "named")
-    # members that are in the longest lists are nearest to what a group has in common
-    weight = named.groupBy("b").agg(F.sum("members").alias("weight"))
-    hub = [F.max(F.when(F.pmod(F.xxhash64("b", F.lit(turn)), F.lit(HUBS)) == k, F.struct("weight", F.col("b").alias("a"), F.col("nb").alias("na"), F.col("root").alias("other")))).alias(f"h{k}") for k in range(HUBS)]
-    hubs = named.join(weight, "b").groupBy("key").agg(*hub)
-    to_hubs = named.join(hubs, "key").select("b", "nb", "root", F.explode(F.array(*(f"h{k}" for k in range(HUBS)))).alias("h")).where("root <> h.other").select("h.a", "h.na", "b", "nb")
-    most = named.groupBy("key", "root").count().groupBy("key").agg(F.max_by("root", F.struct("count", "root")).alias("major"), F.max("count").alias("most"))
-    outside = named.join(most, "key").where("root <> major").drop("major")
-    small = outside.where(f"members <= {SMALL_LIST}").select("key", "b", "nb", "root")
-    wide = outside.where(f"members > {SMALL_LIST} and 4 * most >= 3 * members").groupBy("b", "nb", "root").agg(F.slice(F.sort_array(F.collect_list(F.struct("members", "key"))), 1, WIDE).alias("lists"))
-    asked = small.unionByName(wide.select(F.explode("lists.key").alias("key"), "b", "nb", "root"))
-    return asked.join(named.select("key", F.col("b").alias("a"), F.col("nb").alias("na"), F.col("root").alias("other")), "key").where("root <> other").select("a", "na", "b", "nb").unionByName(to_hubs)
+def _open(met: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """(value, node, n, at, root, members, open) of the lists with members of several components, and of sets that may still have links; open is the number of pairs apart."""
+    roots = _roots(found)
+    named = saved(met.select("value", "node", "n", "at").join(small_side(roots), "node", "left").withColumn("root", F.coalesce("root", "node")), "named")
+    several = named.groupBy("value").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("value")
+    left = saved(_able(named.join(_side(several), "value", "left_semi"), percent), "left")
+    counts = left.groupBy("value", "root").count().groupBy("value").agg(F.sum("count").alias("members"), F.sum(F.col("count") * F.col("count")).alias("squares"))
+    counts = counts.where("members * members > squares").select("value", "members", F.expr("(members * members - squares) div 2").alias("open"))
+    return saved(left.join(_side(counts), "value"), "open")
 
 
-def _rest(met: DataFrame, roots: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Pairs (a, b) apart, among the members of lists that span several components, that the prefix filter cannot rule out.
+def _crossed(posts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of the postings (value, node, n, at, root, members) that are apart and that size and position cannot rule out.
 
-    In one order of all shingles, linked sets of x <= y shingles have their first common one among
-    the first x - ceil(2px / (100 + p)) + 1 of the one and the first y - ceil(py / 100) + 1 of the other.
+    In any one order of all shingles, linked sets of x <= y shingles have their first common one
+    among the first x - ceil(2px / (100 + p)) + 1 of the one and the first k(y) of the other.
     """
-    named = met.where("members > 2").select("key", "b").join(small_side(roots.select(F.col("node").alias("b"), "root")), "b", "left").withColumn("root", F.coalesce("root", "b"))
-    several = named.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
-    open_ = saved(named.join(several, "key", "left_semi").select(F.col("b").alias("node"), "root").distinct(), "open")
-    sets = _full_sets(open_.select("node"), classes, docs, n)
-    # a shingle of one set only is met by none, but comes first in the order
-    shingles = saved(sets.select("node", F.size("set").alias("n"), F.explode("set").alias("s")), "shingles")
-    common = saved(shingles.groupBy("s").agg(F.count("*").alias("df")).where("df > 1"), "common")
-    first = shingles.join(small_side(common), "s").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("xs")).withColumn("own", F.expr("n - size(xs)"))
-    probe = f"n - ((n * {percent} + 99) div 100) + 1"
-    at = first.where(f"{probe} > own").select("node", "n", "own", F.posexplode(F.expr(f"slice(xs, 1, cast({probe} - own as int))")).alias("i", "x"))
-    at = at.select("node", "n", F.expr("own + i").alias("at"), "x.s", F.expr(f"cast(ceil(x.df / {BLOCK}) as int)").alias("blocks")).join(open_, "node")
-    posts = saved(at.select("node", "n", "at", "s", "blocks", "root"), "prefixes")
     index = f"at <= n - ((2 * {percent} * n + {99 + percent}) div {100 + percent})"
-    side = lambda df, x, block: df.select("s", block.alias("block"), *(F.col(c).alias(f"{c}{x}") for c in ("node", "n", "at", "root")))
+    posts = posts.withColumn("blocks", F.expr(f"cast(ceil(members / {BLOCK}) as int)"))
+    side = lambda df, x, block: df.select("value", block.alias("block"), *(F.col(c).alias(f"{c}{x}") for c in ("node", "n", "at", "root")))
     one, two = side(posts.where(index), "a", F.expr("pmod(xxhash64(node), blocks)").cast("int")), side(posts, "b", F.explode(F.expr("sequence(0, blocks - 1)")))
     linkable = f"na <= nb and nodea <> nodeb and roota <> rootb and 100 * na >= {percent} * nb and {100 + percent} * least(na - ata, nb - atb) >= {percent} * (na + nb)"
-    return one.join(two, ["s", "block"]).where(linkable).select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")).distinct()
+    return one.join(two, ["value", "block"]).where(linkable).select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")).distinct()
+
+
+def _by_prefix(open_: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of the sets (node, root) that are apart and that the prefix filter over full sets cannot rule out."""
+    sets = _full_sets(open_.select("node"), classes, docs, n)
+    shingles = sets.join(open_, "node").select("node", "root", F.size("set").alias("n"), F.explode("set").alias("s"))
+    shingles = saved(shingles, "shingles")
+    # a shingle of one component joins none that are apart, but comes first in the order
+    common = saved(shingles.groupBy("s", "root").agg(F.count("*").alias("c")).groupBy("s").agg(F.count("*").alias("rf"), F.sum("c").alias("df")).where("rf > 1"), "common")
+    first = shingles.join(small_side(common), "s").groupBy("node", "n", "root").agg(F.sort_array(F.collect_list(F.struct("rf", "s", "df"))).alias("xs")).withColumn("own", F.expr("n - size(xs)"))
+    probe = _retained("n", percent)
+    at = first.where(f"{probe} > own").select("node", "n", "root", "own", F.posexplode(F.expr(f"slice(xs, 1, cast({probe} - own as int))")).alias("i", "x"))
+    posts = saved(at.select(F.col("x.s").alias("value"), "node", "n", F.expr("own + i").alias("at"), "root", F.col("x.df").alias("members")), "prefixes")
+    return _crossed(posts, percent)
 
 
 def links(docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
     """Confirmed links (a, b) between classes, enough of them to join every component."""
-    ordered = lambda df: df.where("a <> b").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    own = [F.min(F.struct(F.xxhash64("node", "key", F.lit(k)).alias("o"), "node", "n")).alias(f"l{k}") for k in range(1, LEADERS + 1)]
-    leaders = _postings(classes, percent).groupBy("key").agg(F.count("*").alias("members"), F.min(F.struct("node", "n")).alias("l0"), *own).where("members > 1")
-    # postings of shared lists, each with its list's leaders
-    met = saved(_postings(classes, percent).join(leaders, "key").select("key", "members", F.col("node").alias("b"), F.col("n").alias("nb"), *(F.struct(f"l{k}.node", f"l{k}.n").alias(f"l{k}") for k in range(LEADERS + 1))), "postings")
-    found = _confirmed(ordered(met.select("b", "nb", F.col("l0.node").alias("a"), F.col("l0.n").alias("na"))), classes, docs, n, percent)
-    others = met.where("members > 2").select("b", "nb", F.explode(F.array(*(f"l{k}" for k in range(1, LEADERS + 1)))).alias("l")).select("b", "nb", F.col("l.node").alias("a"), F.col("l.n").alias("na"))
-    found = found.unionByName(_confirmed(_apart(ordered(others), _roots(found)), classes, docs, n, percent))
-    for turn in range(TURNS):
-        new = _confirmed(ordered(_outsiders(met, _roots(found), turn)), classes, docs, n, percent)
+    posts = classes.select("node", F.col("n_shingles").cast("int").alias("n"), F.posexplode("sketch").alias("at", "value"))
+    shared = posts.groupBy("value").count().where("count > 1").select("value")
+    met = saved(_able(saved(posts.join(_side(shared), "value", "left_semi"), "met"), percent), "postings")
+    lead = met.groupBy("value").agg(F.min("node").alias("a"), F.max("node").alias("most")).where("a <> most").select("value", "a")
+    led = met.join(_side(lead), "value").where("node <> a").groupBy("a", F.col("node").alias("b"), "n").count()
+    found = _confirmed(led.where(f"4 * count >= {_retained('n', percent)}").select("a", "b"), classes, docs, n, percent)
+    for turn in range(TURNS + 1):
+        left = _open(met, found, percent)
+        many = left.where(f"open > {OPEN} * members")
+        if turn == TURNS or many.isEmpty():
+            break
+        order = F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), F.col("node").alias("a"), F.col("root").alias("other"))
+        fresh = many.groupBy("value").agg(F.min(order).alias("l"))
+        pairs = many.join(_side(fresh), "value").where("root <> l.other").select(F.least("node", "l.a").alias("a"), F.greatest("node", "l.a").alias("b")).distinct()
+        new = _confirmed(pairs, classes, docs, n, percent)
         if new.isEmpty():
             break
         found = found.unionByName(new)
-    return found.unionByName(_checked(saved(_rest(met, _roots(found), classes, docs, n, percent), "rest"), classes, docs, n, percent))
+    direct = _confirmed(saved(_crossed(left.where(f"open <= {OPEN} * members"), percent), "crossed"), classes, docs, n, percent)
+    hard = saved(many.select("node", "root").distinct(), "hard")
+    if hard.isEmpty():
+        return found.unionByName(direct)
+    rest = _confirmed(saved(_by_prefix(hard, classes, docs, n, percent), "crossed"), classes, docs, n, percent)
+    return found.unionByName(direct).unionByName(rest)
 
 
 def _grouped(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(doc_id, uid, n_shingles, root, least_id) of every row of docs; root and least_id are null where the set is empty."""
     prepare(docs.sparkSession)
-    rows = saved(sketches(docs.select("doc_id", "text", _uid()), shingle, key_col="uid"), "sketches")
+    docs = docs.select("doc_id", "text")
+    rows = saved(sketches(docs.select("doc_id", "text", _uid()), shingle, percent=percent, key_col="uid"), "sketches")
     classes = saved(rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("rep_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "classes")
     comp = saved(components(links(docs, classes, shingle, percent), "a", "b"), "components")
     named = comp.join(classes.select("node", "rep_id"), "node").groupBy("root").agg(F.min("rep_id").alias("least_id"))
@@ -247,9 +263,10 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = saved(_grouped(docs, 5, 80).select("doc_id", "uid", "root"), "near")
     # by the row's key, since an id may be null or stand on rows of different groups
     keep = found.where("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")).alias("keep"))
-    gone = small_side(saved(found.join(keep, "root").where("uid <> keep.uid").select(F.col("uid").alias("_gone")).distinct(), "near-gone"))
-    left = docs.join(gone, _uid() == F.col("_gone"), "left_anti")
-    if found.groupBy("uid").count().where("count > 1").join(gone, F.col("uid") == F.col("_gone"), "left_anti").isEmpty():
-        return left
-    # of equal rows one stays
-    return left.dropDuplicates(["doc_id", "text"])
+    gone = small_side(saved(found.join(keep, "root").where("uid <> keep.uid").select(F.col("uid").alias("gone")).distinct(), "near-gone"))
+    # packed, so that a column of the input may be called what it likes
+    rows = docs.select(_uid(), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    left = rows.join(gone, F.col("uid") == F.col("gone"), "left_anti")
+    if not found.groupBy("uid").count().where("count > 1").join(gone, F.col("uid") == F.col("gone"), "left_anti").isEmpty():
+        left = left.dropDuplicates(["uid"])  # of equal rows one stays
+    return left.select("row.*")
