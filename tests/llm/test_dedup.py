@@ -299,3 +299,37 @@ def test_text_primitives():
         b = np.frombuffer(s.encode(), np.uint8)
         w = T.runs(b, np.array([0, len(b)]), T.NOT_SPACE)
         assert [bytes(b[x:y]).decode() for x, y in zip(w.start, w.end, strict=True)] == s.split()
+
+
+def test_hashes_are_polynomials_modulo_a_prime():
+    rng = np.random.default_rng(1)
+    a, b = (rng.integers(0, T.PRIME, 500, dtype=np.uint64) for _ in range(2))
+    a[:3], b[:3] = (0, T.PRIME - 1, T.PRIME - 1), (5, T.PRIME - 1, 1)
+    assert [int(x) for x in T.product(a, b)] == [int(x) * int(y) % T.PRIME for x, y in zip(a, b, strict=True)]
+    buf = rng.integers(0, 256, 3000).astype(np.uint8)
+    buf[:100] = buf[1000:1100] = buf[2500:2600] = 255
+    h = T.prefix_hash(buf)
+    x, want = 1, [0]
+    for c in buf:
+        want.append((want[-1] + (int(c) + 1) * x) % T.PRIME)
+        x = x * T._STEP % T.PRIME
+    assert [int(v) for v in h] == want
+    at = np.array([0, 1000, 2500, 1])
+    got = T.range_hash(h, at, at + 100)
+    assert got[0] == got[1] == got[2] != got[3]
+
+
+def test_strings_that_collide_modulo_a_power_of_two():
+    """The Thue-Morse word and its complement have equal polynomials modulo 2**64 at every odd base."""
+    one = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    two = one.translate(str.maketrans("ab", "ba"))
+    b = np.frombuffer((one + two).encode(), np.uint8)
+    h = T.range_hash(T.prefix_hash(b), np.array([0, 1024]), np.array([1024, 2048]))
+    assert h[0] != h[1]
+
+
+def test_prefix_hash_over_chunks(monkeypatch):
+    b = np.random.default_rng(3).integers(0, 256, 5000).astype(np.uint8)
+    whole = T.prefix_hash(b)
+    monkeypatch.setattr(T, "_CHUNK", 64)
+    assert (T.prefix_hash(b) == whole).all()

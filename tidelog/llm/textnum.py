@@ -3,7 +3,7 @@
 Everything here works on the UTF-8 bytes of a bounded slice of an Arrow column, so a
 worker's memory depends on the slice size and on the longest single text, never on the
 partition.  Words, lines and n-gram windows come out as numpy arrays of byte offsets and
-64-bit hashes; two different strings share a hash with probability about 2**-64.
+64-bit hashes; two different strings of n bytes share a hash with probability about n * 2**-61.
 """
 
 from __future__ import annotations
@@ -19,11 +19,15 @@ SLICE_BYTES = 1 << 19
 
 _U64 = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240229))
-_BYTE_VALUE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * _U64(2) + _U64(1)
-_STEP = 0x9E3779B97F4A7C15
-_STEP_INV = pow(_STEP, -1, 2**64)
 _GRAM = _rng.integers(1, 2**63, 64, dtype=np.uint64) * _U64(2) + _U64(1)
+#: Byte strings are hashed as polynomials modulo this prime, at a base without small powers.
+PRIME = 2**61 - 1
+_P = _U64(PRIME)
+_STEP = 0x123456789ABCDEF1 % PRIME
+_STEP_INV = pow(_STEP, -1, PRIME)
 _powers: dict[int, np.ndarray] = {}
+#: Bytes whose partial sums are added up before they are reduced (at most 2**20); so few stay in the cache.
+_CHUNK = 1 << 15
 
 #: ASCII A-Z to a-z, every other byte unchanged.
 LOWER = np.arange(256, dtype=np.uint8)
@@ -52,30 +56,59 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U64(33))
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME, but 0 may stand as PRIME."""
+    return (x & _P) + (x >> _U64(61))
+
+
+def _shifted(x: np.ndarray, bits: int) -> np.ndarray:
+    """x * 2**bits modulo PRIME of x < 2**61: the bits turn round."""
+    return ((x & _U64((1 << (61 - bits)) - 1)) << _U64(bits)) | (x >> _U64(61 - bits))
+
+
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME of numbers under 2**61, by halves."""
+    low, up = _U64(0xFFFFFFFF), _U64(32)
+    a0, a1, b0, b1 = a & low, a >> up, b & low, b >> up
+    mid = _reduced(a1 * b0 + a0 * b1)
+    total = _reduced((a1 * b1) << _U64(3)) + _shifted(_canonical(mid), 32) + _reduced(a0 * b0)
+    return _canonical(_reduced(total))
+
+
+def _canonical(x: np.ndarray) -> np.ndarray:
+    """x <= 2**61 brought under PRIME."""
+    return np.minimum(x, x - _P)  # below PRIME the difference wraps round
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, kept between calls."""
+    """base**0 .. base**(n-1) modulo PRIME, kept between calls."""
     have = _powers.get(base)
     if have is None or len(have) < n:
         size = max(n, SLICE_BYTES + 2)
-        steps = np.full(size, base, dtype=np.uint64)
-        steps[0] = 1
-        have = np.cumprod(steps, dtype=np.uint64)
+        have = np.ones(1, dtype=np.uint64)
+        while len(have) < size:
+            have = np.concatenate([have, product(have, _U64(pow(base, len(have), PRIME)))])[:size]
         if size <= 4 * SLICE_BYTES:
             _powers[base] = have
     return have[:n]
 
 
 def prefix_hash(buf: np.ndarray) -> np.ndarray:
-    """H with H[e] - H[s] == step**s * hash(buf[s:e]) for every range."""
-    out = np.empty(len(buf) + 1, dtype=np.uint64)
-    out[0] = 0
-    np.cumsum(_BYTE_VALUE[buf] * powers(_STEP, len(buf)), out=out[1:])
+    """H with H[e] - H[s] == step**s * hash(buf[s:e]) modulo PRIME for every range."""
+    out = np.zeros(len(buf) + 1, dtype=np.uint64)
+    step = powers(_STEP, len(buf))
+    low, up = _U64(0xFFFFFFFF), _U64(32)
+    for at in range(0, len(buf), _CHUNK):
+        part, p = buf[at : at + _CHUNK].astype(np.uint64) + _U64(1), step[at : at + _CHUNK]
+        # sums of up to 2**15 products of 9 and 32 bits
+        lo, hi = np.cumsum(part * (p & low)), np.cumsum(part * (p >> up))
+        out[at + 1 : at + 1 + len(part)] = _canonical(_reduced(_shifted(_canonical(_reduced(hi)), 32) + _canonical(_reduced(lo)) + out[at]))
     return out
 
 
 def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of the bytes of each range; equal strings have equal hashes."""
-    raw = (prefix[end] - prefix[start]) * powers(_STEP_INV, len(prefix))[start]
+    """Hash of the bytes of each range; equal strings have equal hashes, and two of n bytes share one for at most n of 2**61 bases."""
+    raw = product(_canonical(prefix[end] + _P - prefix[start]), powers(_STEP_INV, len(prefix))[start])
     return mix64(raw + (end - start).astype(np.uint64) * _U64(0xD6E8FEB86659FD93))
 
 
