@@ -18,13 +18,15 @@ BATCH_ROWS, BATCH_BYTES = 256, 4 << 20
 def prepare(spark: SparkSession) -> SparkSession:
     """Bound Arrow batches and make sure that a shared checkpoint folder is set.
 
-    On a cluster the folder comes from ``spark.checkpoint.dir``; only where that is unset,
-    as in tests, a local one is made.
+    On a cluster the folder comes from ``spark.checkpoint.dir`` and must be set; in local mode,
+    as in tests, one is made where it is unset.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        if not shared and not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tidelog-"))
     return spark
 
@@ -52,6 +54,18 @@ def drop_saved(spark: SparkSession, df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free(spark: SparkSession, *frames: DataFrame) -> None:
+    """Delete saved frames that are no longer needed."""
+    for df in frames:
+        drop_saved(spark, df)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let the driver drop the shuffle files of what no frame refers to any more; else they stay until it happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -14,13 +14,15 @@ form a class and are linked by that alone.
 * Exact Jaccard on the full sets confirms every link.
 
 Nothing emits a list's pairs while its members may be one component.  First each member meets
-its list's least member, if they share enough lists.  From then on only lists that hold members
-of several components count, and only sets with enough values in such lists: a group of near
-copies that is one component, of whatever size, is done with.  Lists whose open pairs are many
-get fresh leaders for up to ``TURNS`` turns.  At last, every pair that is still apart is met:
-in lists of few open pairs directly, by salted blocks, size and position; the members of other
-lists (passages that many documents share) by a prefix filter over their full sets, whose
-shingles are ordered by the number of components that have them.  Turns save work only.
+the member of its list that has least values alone, if they share enough lists.  From then on
+only lists that hold members of several components count, and only sets with enough values in
+such lists: a group of near copies that is one component, of whatever size, is done with.  A
+list is hot while its pairs apart are over ``OPEN`` times its members, and gets fresh leaders
+for up to ``TURNS`` turns.  At last every pair that is still apart is met: in lists that are
+not hot, by salted blocks, size and position; and sets with enough values in hot lists alone
+(passages that many documents share, large groups that are not linked) by a prefix filter over
+their full sets, whose shingles are ordered by the number of components that have them.  Turns
+and leaders save work only.
 
 Edge cases: a null or empty text has an empty set and links with nothing; texts of fewer
 words than a shingle are one shingle; null ids take part in classes but never name a
@@ -40,13 +42,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import textnum as T
-from tidelog.llm.common import lean, prepare, saved, table
+from tidelog.llm.common import free, lean, prepare, saved, table, tidy
 from tidelog.llm.components import components, small_side
 
 #: Probability at most that the estimate rules a linked pair out.
 MISS = 1e-9
-#: Turns of fresh leaders at most; open pairs for each member of a list from which on it gets them.
-TURNS, OPEN = 3, 128
+#: Turns of fresh leaders at most; open pairs for each member of a list from which on it is hot.
+TURNS, OPEN = 2, 16
 #: Postings of one salted block of a shingle, about, and values of a sketch that one estimate looks at.
 BLOCK, LOOKED_AT = 256, 128
 
@@ -122,8 +124,19 @@ def _retained(n: str, percent: int) -> str:
 
 
 def _least_shared(m: str, percent: int) -> str:
-    """SQL: of m values of a union, linked sets share at least so many, but with probability ``MISS``."""
-    return f"floor({m} * {percent / 100} - {math.sqrt(math.log(1 / MISS) / 2):.4f} * sqrt({m}))"
+    """SQL: of m values of a union, linked sets share so many or more, but with probability ``MISS``: by the binomial tail up to ``LOOKED_AT``, then by Hoeffding's bound."""
+    p = percent / 100
+
+    def least(size: int) -> int:
+        tail = 0.0
+        for k in range(size + 1):
+            tail += math.comb(size, k) * p**k * (1 - p) ** (size - k)
+            if tail > MISS:
+                return k
+        return size
+
+    exact = ", ".join(str(least(size)) for size in range(LOOKED_AT + 1))
+    return f"case when {m} <= {LOOKED_AT} then element_at(array({exact}), cast({m} as int) + 1) else floor({m} * {p} - {math.sqrt(math.log(1 / MISS) / 2):.4f} * sqrt({m})) end"
 
 
 def _side(df: DataFrame) -> DataFrame:
@@ -131,21 +144,32 @@ def _side(df: DataFrame) -> DataFrame:
     return small_side(saved(df, "side"))
 
 
+def _enough(n: str, percent: int) -> str:
+    """SQL: retained values that a set of n shares with a partner of any size at least."""
+    return _least_shared(_retained(f"(({percent} * {n} + 99) div 100)", percent), percent)
+
+
 def _able(posts: DataFrame, percent: int) -> DataFrame:
-    """The postings (node, n, ...) of sets with enough of them for a partner of any size."""
-    enough = _least_shared(_retained(f"(({percent} * n + 99) div 100)", percent), percent)
-    able = posts.groupBy("node", "n").count().where(f"count >= {enough}").select("node")
-    return posts.join(_side(able), "node", "left_semi")
+    """The postings (node, n, ...) of sets with enough of them for a partner of any size, and ``rare``: retained values that the set has alone."""
+    counts = posts.groupBy("node", "n").count().where(f"count >= {_enough('n', percent)}")
+    return posts.drop("rare").join(_side(counts.select("node", F.expr(f"{_retained('n', percent)} - count").alias("rare"))), "node")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return saved(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "nodes")
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose full sets are linked; estimates come first."""
-    one, two = (classes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n{x}"), F.slice("sketch", 1, LOOKED_AT).alias(f"s{x}")) for x in "ab")
+    pairs = saved(pairs, "pairs")
+    known = saved(classes.join(small_side(_ends(pairs)), "node", "left_semi").select("node", "n_shingles", F.slice("sketch", 1, LOOKED_AT).alias("s")), "known")
+    one, two = (known.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("s").alias(f"s{x}")) for x in "ab")
     both = pairs.join(one, "a").join(two, "b").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").withColumn("m", F.least(F.size("sa"), F.size("sb")))
     least = both.withColumn("u", F.expr("slice(array_sort(array_union(sa, sb)), 1, m)"))
-    likely = least.where(f"size(array_intersect(array_intersect(u, sa), sb)) >= {_least_shared('m', percent)}").select("a", "b")
-    likely = saved(likely, "likely")
-    return likely if likely.isEmpty() else _checked(likely, classes, docs, n, percent)
+    likely = saved(least.where(f"size(array_intersect(array_intersect(u, sa), sb)) >= {_least_shared('m', percent)}").select("a", "b"), "likely")
+    out = likely if likely.isEmpty() else _checked(likely, classes, docs, n, percent)
+    free(pairs.sparkSession, known, pairs)
+    return out
 
 
 def _full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
@@ -157,82 +181,90 @@ def _full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, n: int) ->
 
 def _checked(likely: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) of likely whose full sets are linked."""
-    nodes = saved(likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct(), "nodes")
-    sets = _full_sets(nodes, classes, docs, n)
+    sets = _full_sets(_ends(likely), classes, docs, n)
     one, two = (sets.select(F.col("node").alias(x), F.col("set").alias(f"s{x}")) for x in "ab")
     both = likely.join(one, "a").join(two, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
-    return saved(both.where(f"100 * common >= {percent} * (size(sa) + size(sb) - common)").select("a", "b"), "links")
-
-
-def _roots(links: DataFrame) -> DataFrame:
-    return saved(components(links, "a", "b"), "components")
+    out = saved(both.where(f"100 * common >= {percent} * (size(sa) + size(sb) - common)").select("a", "b"), "links")
+    free(likely.sparkSession, sets)
+    return out
 
 
 def _open(met: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """(value, node, n, at, root, members, open) of the lists with members of several components, and of sets that may still have links; open is the number of pairs apart."""
-    roots = _roots(found)
-    named = saved(met.select("value", "node", "n", "at").join(small_side(roots), "node", "left").withColumn("root", F.coalesce("root", "node")), "named")
+    """(value, node, n, at, rare, root, members, hot) of the lists with members of several components, and of sets that may still have links; hot: pairs apart are many."""
+    roots = saved(components(found, "a", "b"), "components")
+    named = saved(met.join(small_side(roots), "node", "left").withColumn("root", F.coalesce("root", "node")), "named")
     several = named.groupBy("value").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("value")
     left = saved(_able(named.join(_side(several), "value", "left_semi"), percent), "left")
+    free(met.sparkSession, named)
     counts = left.groupBy("value", "root").count().groupBy("value").agg(F.sum("count").alias("members"), F.sum(F.col("count") * F.col("count")).alias("squares"))
-    counts = counts.where("members * members > squares").select("value", "members", F.expr("(members * members - squares) div 2").alias("open"))
-    return saved(left.join(_side(counts), "value"), "open")
+    counts = counts.where("members * members > squares").select("value", "members", F.expr(f"members * members - squares > {2 * OPEN} * members").alias("hot"))
+    out = saved(left.join(_side(counts), "value"), "open")
+    free(met.sparkSession, left)
+    return out
 
 
 def _crossed(posts: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of the postings (value, node, n, at, root, members) that are apart and that size and position cannot rule out.
+    """Pairs (a, b) of the postings (value, node, n, at, root, members, unseen) that are apart and that size and position cannot rule out.
 
     In any one order of all shingles, linked sets of x <= y shingles have their first common one
-    among the first x - ceil(2px / (100 + p)) + 1 of the one and the first k(y) of the other.
+    among the first x - ceil(2px / (100 + p)) + 1 of the one and the first k(y) of the other;
+    ``unseen`` values of a set, of lists that are not among these, may be common before it.
     """
-    index = f"at <= n - ((2 * {percent} * n + {99 + percent}) div {100 + percent})"
+    index = f"at <= n + unseen - ((2 * {percent} * n + {99 + percent}) div {100 + percent})"
     posts = posts.withColumn("blocks", F.expr(f"cast(ceil(members / {BLOCK}) as int)"))
-    side = lambda df, x, block: df.select("value", block.alias("block"), *(F.col(c).alias(f"{c}{x}") for c in ("node", "n", "at", "root")))
+    side = lambda df, x, block: df.select("value", block.alias("block"), *(F.col(c).alias(f"{c}{x}") for c in ("node", "n", "at", "root", "unseen")))
     one, two = side(posts.where(index), "a", F.expr("pmod(xxhash64(node), blocks)").cast("int")), side(posts, "b", F.explode(F.expr("sequence(0, blocks - 1)")))
-    linkable = f"na <= nb and nodea <> nodeb and roota <> rootb and 100 * na >= {percent} * nb and {100 + percent} * least(na - ata, nb - atb) >= {percent} * (na + nb)"
+    linkable = f"na <= nb and nodea <> nodeb and roota <> rootb and 100 * na >= {percent} * nb and {100 + percent} * (least(na - ata, nb - atb) + least(unseena, unseenb)) >= {percent} * (na + nb)"
     return one.join(two, ["value", "block"]).where(linkable).select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")).distinct()
 
 
 def _by_prefix(open_: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Pairs (a, b) of the sets (node, root) that are apart and that the prefix filter over full sets cannot rule out."""
-    sets = _full_sets(open_.select("node"), classes, docs, n)
-    shingles = sets.join(open_, "node").select("node", "root", F.size("set").alias("n"), F.explode("set").alias("s"))
-    shingles = saved(shingles, "shingles")
+    sets = saved(_full_sets(open_.select("node"), classes, docs, n).join(small_side(open_), "node"), "rooted")
+    shingles = sets.select("node", "root", F.size("set").alias("n"), F.explode("set").alias("s"))
     # a shingle of one component joins none that are apart, but comes first in the order
-    common = saved(shingles.groupBy("s", "root").agg(F.count("*").alias("c")).groupBy("s").agg(F.count("*").alias("rf"), F.sum("c").alias("df")).where("rf > 1"), "common")
-    first = shingles.join(small_side(common), "s").groupBy("node", "n", "root").agg(F.sort_array(F.collect_list(F.struct("rf", "s", "df"))).alias("xs")).withColumn("own", F.expr("n - size(xs)"))
+    common = shingles.groupBy("s", "root").agg(F.count("*").alias("c")).groupBy("s").agg(F.count("*").alias("rf"), F.sum("c").alias("df")).where("rf > 1")
+    first = shingles.join(_side(common), "s").groupBy("node", "n", "root").agg(F.sort_array(F.collect_list(F.struct("rf", "s", "df"))).alias("xs")).withColumn("own", F.expr("n - size(xs)"))
     probe = _retained("n", percent)
     at = first.where(f"{probe} > own").select("node", "n", "root", "own", F.posexplode(F.expr(f"slice(xs, 1, cast({probe} - own as int))")).alias("i", "x"))
-    posts = saved(at.select(F.col("x.s").alias("value"), "node", "n", F.expr("own + i").alias("at"), "root", F.col("x.df").alias("members")), "prefixes")
-    return _crossed(posts, percent)
+    posts = at.select(F.col("x.s").alias("value"), "node", "n", F.expr("own + i").alias("at"), "root", F.col("x.df").alias("members"), F.lit(0).alias("unseen"))
+    return _crossed(saved(posts, "prefixes"), percent)
 
 
 def links(docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
     """Confirmed links (a, b) between classes, enough of them to join every component."""
+    spark = docs.sparkSession
     posts = classes.select("node", F.col("n_shingles").cast("int").alias("n"), F.posexplode("sketch").alias("at", "value"))
     shared = posts.groupBy("value").count().where("count > 1").select("value")
-    met = saved(_able(saved(posts.join(_side(shared), "value", "left_semi"), "met"), percent), "postings")
-    lead = met.groupBy("value").agg(F.min("node").alias("a"), F.max("node").alias("most")).where("a <> most").select("value", "a")
+    every = saved(posts.join(_side(shared), "value", "left_semi"), "met")
+    met = saved(_able(every, percent), "postings")
+    free(spark, every)
+    tidy(spark)
+    # the member that has least alone is nearest to what a group has in common
+    order = F.struct("rare", F.col("node").alias("a"))
+    lead = met.groupBy("value").agg(F.min(order).alias("l"), F.count("*").alias("members")).where("members > 1").select("value", "l.a")
     led = met.join(_side(lead), "value").where("node <> a").groupBy("a", F.col("node").alias("b"), "n").count()
     found = _confirmed(led.where(f"4 * count >= {_retained('n', percent)}").select("a", "b"), classes, docs, n, percent)
     for turn in range(TURNS + 1):
         left = _open(met, found, percent)
-        many = left.where(f"open > {OPEN} * members")
+        many = left.where("hot")
         if turn == TURNS or many.isEmpty():
             break
-        order = F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), F.col("node").alias("a"), F.col("root").alias("other"))
+        order = F.struct(F.expr(f"pmod(xxhash64(node, {turn}), 4)").alias("o"), "rare", F.col("node").alias("a"), F.col("root").alias("other"))
         fresh = many.groupBy("value").agg(F.min(order).alias("l"))
         pairs = many.join(_side(fresh), "value").where("root <> l.other").select(F.least("node", "l.a").alias("a"), F.greatest("node", "l.a").alias("b")).distinct()
         new = _confirmed(pairs, classes, docs, n, percent)
         if new.isEmpty():
             break
         found = found.unionByName(new)
-    direct = _confirmed(saved(_crossed(left.where(f"open <= {OPEN} * members"), percent), "crossed"), classes, docs, n, percent)
-    hard = saved(many.select("node", "root").distinct(), "hard")
-    if hard.isEmpty():
-        return found.unionByName(direct)
-    rest = _confirmed(saved(_by_prefix(hard, classes, docs, n, percent), "crossed"), classes, docs, n, percent)
-    return found.unionByName(direct).unionByName(rest)
+        free(spark, left)
+        tidy(spark)
+    # a pair apart shares a list that is not hot, or each of the two has enough values in hot ones alone
+    hot = saved(many.groupBy("node", "n", "root").agg(F.count("*").cast("int").alias("unseen")), "hot")
+    plain = left.where("not hot").join(small_side(hot.select("node", "unseen")), "node", "left").fillna(0, ["unseen"])
+    found = found.unionByName(_confirmed(_crossed(plain, percent), classes, docs, n, percent))
+    hard = saved(hot.where(f"unseen >= {_enough('n', percent)}").select("node", "root"), "hard")
+    return found if hard.isEmpty() else found.unionByName(_confirmed(_by_prefix(hard, classes, docs, n, percent), classes, docs, n, percent))
 
 
 def _grouped(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
