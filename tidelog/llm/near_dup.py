@@ -48,7 +48,7 @@ from tidelog.llm.components import components, small_side
 #: Probability at most that the estimate rules a linked pair out.
 MISS = 1e-9
 #: Turns of fresh leaders at most; open pairs for each member of a list from which on it is hot.
-TURNS, OPEN = 2, 16
+TURNS, OPEN = 2, 4
 #: Postings of one salted block of a shingle, about, and values of a sketch that one estimate looks at.
 BLOCK, LOOKED_AT = 256, 128
 
