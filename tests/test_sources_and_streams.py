@@ -4,6 +4,7 @@ import struct
 
 import pytest
 
+from tidelog.functions.row_vectors import end_of, row_records
 from tidelog.operators import apply
 from tidelog.sources import redo
 from tidelog.streaming import assembler
@@ -12,7 +13,7 @@ from tidelog.streaming import assembler
 def vector(layer, op, fields):
     lengths = struct.pack(f"<{len(fields) + 1}H", 2 * (len(fields) + 1), *map(len, fields))
     pad = lambda b: b + bytes(-len(b) % 4)
-    return struct.pack("<BBHIIIII", layer, op, 1, 0, 77, 0, 0, 0) + pad(lengths) + b"".join(map(pad, fields))
+    return struct.pack("<BBHIIIIIII", layer, op, 1, 0, 77, 0, 0, 0, 0, 0) + pad(lengths) + b"".join(map(pad, fields))
 
 
 def log_file(path, sequence, recs, first=1, last=1000, size=512):
@@ -55,7 +56,7 @@ def test_redo_source(spark, tmp_path):
     rows = sorted(read.load().collect(), key=lambda r: (r.sequence, r.scn, r.vector))
     assert [(r.scn, r.opcode) for r in rows[:4]] == [(10, "11.2"), (20, "5.1"), (20, "11.5"), (30, "5.4")] and len(rows) == 8
     assert [bytes(x) for x in rows[0].fields] == [b"abc", b"x" * 700] and rows[0].thread == 2 and rows[0].block == 2
-    assert redo.commit_of(tuple(bytes(x) for x in rows[3].fields), "<") == ("5.99", False)
+    assert end_of(rows[3]["class"], [bytes(x) for x in rows[3].fields], "<") == {"xid": "-1.5.99", "rollback": False, "time": None}
     some = read.option("startscn", "10").option("endscn", "20").load().collect()
     assert {(r.sequence, r.scn) for r in some} == {(7, 20)}
 

@@ -7,7 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_VALUE = r"(NULL|'(?:[^']|'')*'|[^\s,)]+)"
+#: A quoted text with doubled quotes, by possessive loops: no step of the regex engine recurses, whatever the length.
+_TEXT = r"'[^']*+(?:''[^']*+)*+'"
+_VALUE = rf"(NULL(?![\w(])|{_TEXT}|\w++\([^()']*+(?:{_TEXT}[^()']*+)*+\)|[^\s,)]++)"
+#: What stands before a key word outside quotes.
+_SKIP = rf"""(?:[^'" ]++|"[^"]*+"|{_TEXT}| (?!%s))*+"""
 
 
 def _literal(pattern: str) -> str:
@@ -16,30 +20,32 @@ def _literal(pattern: str) -> str:
 
 
 #: NULL, nothing (IS NULL), a quoted text with doubled quotes, or a bare value.
-_PLAIN = "v -> case when v in ('', 'NULL') then cast(null as string) when v like '\\'%' then replace(substring(v, 2, length(v) - 2), '\\'\\'', '\\'') else v end"
+_PLAIN = "v -> case when v in ('', 'NULL') then cast(null as string) when startswith(v, '\\'') then replace(substring(v, 2, length(v) - 2), '\\'\\'', '\\'') else v end"
 
 
 def _pairs(text: str) -> str:
     """Map of "COL" = value and "COL" IS NULL terms of a text expression."""
-    names, values = rf'"([^"]+)" (?:= {_VALUE}|IS NULL)', rf'"[^"]+" (?:= {_VALUE}|IS NULL)'
+    names, values = rf'"([^"]++)" (?:= {_VALUE}|IS NULL)', rf'"[^"]++" (?:= {_VALUE}|IS NULL)'
     return f"map_from_arrays(regexp_extract_all({text}, {_literal(names)}, 1), transform(regexp_extract_all({text}, {_literal(values)}, 1), {_PLAIN}))"
 
 
 def insert_values(text: str = "sql_redo") -> Column:
     """Column map of ``insert into "O"."T"("A","B") values ('x',NULL)``."""
-    head = f"regexp_extract({text}, '^insert into [^(]*[(]([^)]*)[)] values', 1)"
-    tail = f"regexp_extract({text}, ' values [(](.*)[)];?$', 1)"
-    return F.expr(f"map_from_arrays(regexp_extract_all({head}, '\"([^\"]+)\"', 1), transform(regexp_extract_all({tail}, {_literal(_VALUE)}, 1), {_PLAIN}))")
+    start = r"""(?s)^insert into (?:[^"(]++|"[^"]*+")++\(((?:[^")]++|"[^"]*+")*+)\) values \((.*)\);?\s*\z"""
+    head, tail = (f"regexp_extract({text}, {_literal(start)}, {k})" for k in (1, 2))
+    return F.expr(f"map_from_arrays(regexp_extract_all({head}, '\"([^\"]++)\"', 1), transform(regexp_extract_all({tail}, {_literal(_VALUE)}, 1), {_PLAIN}))")
 
 
 def where_values(text: str = "sql_redo") -> Column:
     """Column map of the WHERE terms of a delete or update."""
-    return F.expr(_pairs(f"regexp_extract({text}, ' where (.*)$', 1)"))
+    pattern = f"(?s)^{_SKIP % 'where '} where (.*)"
+    return F.expr(_pairs(f"regexp_extract({text}, {_literal(pattern)}, 1)"))
 
 
 def set_values(text: str = "sql_redo") -> Column:
     """Column map of the SET terms of an update."""
-    return F.expr(_pairs(f"regexp_extract({text}, ' set (.*?) where ', 1)"))
+    pattern = f"(?s)^{_SKIP % 'set '} set ({_SKIP % 'where '})"
+    return F.expr(_pairs(f"regexp_extract({text}, {_literal(pattern)}, 1)"))
 
 
 def operation(text: str = "sql_redo") -> Column:

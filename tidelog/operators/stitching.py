@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 
 HEAD, FIRST, LAST = 0x20, 0x08, 0x04
 
-STITCHED = "xid string, seq int, op string, row_id string, scn long, rba string, set map<int,string>, original map<int,string>, where map<int,string>, n_pieces int, complete boolean"
+STITCHED = "xid string, seq int, op string, obj long, rollback boolean, row_id string, scn long, rba string, set map<int,string>, original map<int,string>, where map<int,string>, n_pieces int, complete boolean"
 
 #: Opcode to row operation; the last two only end an update (fixed values).
 OPERATION = {"11.2": "INSERT", "11.3": "DELETE", "11.5": "UPDATE", "11.6": "UPDATE", "11.8": "TAIL", "11.16": "TAIL", "10.2": "INSERT", "10.4": "DELETE", "10.18": "UPDATE", "10.30": "UPDATE", "10.35": "UPDATE"}
@@ -74,7 +74,7 @@ class _Row:
             old = old | where
         first = self.pieces[0]
         row_id = next((p["row_id"] for p in order if p["row_id"]), None)
-        return {"op": self.op, "row_id": row_id, "scn": first["scn"], "rba": first["rba"], "set": new if self.op != "DELETE" else {}, "original": old if self.op != "INSERT" else {}, "where": where if self.op == "UPDATE" else {}, "n_pieces": len(self.pieces)}
+        return {"op": self.op, "obj": first.get("obj"), "rollback": bool(first["rollback"]), "row_id": row_id, "scn": first["scn"], "rba": first["rba"], "set": new if self.op != "DELETE" else {}, "original": old if self.op != "INSERT" else {}, "where": where if self.op == "UPDATE" else {}, "n_pieces": len(self.pieces)}
 
 
 def stitch(records: list[dict]) -> Iterator[dict]:

@@ -5,7 +5,9 @@ a partition, pruned by its header's SCN range before any task starts.  Layouts f
 descriptions of the format; all numbers have the file's byte order.
 
 Options: ``path`` (file, folder or glob), ``startscn`` (exclusive), ``endscn`` (inclusive),
-``sequence`` (only this log), ``checksum`` (true: blocks with a wrong XOR sum fail the task).
+``sequence`` (only this log), ``checksum`` (true: blocks with a wrong XOR sum fail the task),
+``decode``: ``vectors``, or ``pieces`` for the row pieces that ``stitching.stitch_rows`` joins, or
+``ends`` for commits and rollbacks.  Files must be mounted where the tasks run.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from dataclasses import dataclass
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tidelog.functions.row_vectors import RedoError, end_of, row_records
+
 #: Fixed places in the file header block (block 1) and the sizes of a block and record header.
 BLOCK_HEADER = 16
 _SEQUENCE, _VERSION, _SID, _DBID, _FILE_SIZE = 0x08, 0x14, 0x1C, 0x18, 0x28
@@ -26,7 +30,17 @@ _DESCRIPTION, _NAB, _THREAD, _FIRST_SCN, _FIRST_TIME, _NEXT_SCN, _NEXT_TIME = 0x
 BLOCK_TYPE = {512: 0x22, 1024: 0x22, 4096: 0x82}
 RECORD_SMALL, RECORD_LWN = 24, 68
 
-SCHEMA = "thread int, sequence long, block long, offset int, scn long, sub_scn int, ts long, vector int, opcode string, class int, dba long, fields array<binary>"
+SCHEMA = "thread int, sequence long, block long, offset int, scn long, sub_scn int, ts long, vector int, opcode string, class int, dba long, con_uid long, fields array<binary>"
+
+_PLACE = "thread int, sequence long, rba string, pos string, scn long, sub_scn int, ts long, con_uid long"
+#: Columns by the ``decode`` option.
+SCHEMAS = {
+    "vectors": SCHEMA,
+    "pieces": f"{_PLACE}, xid string, rollback boolean, obj long, data_obj long, opcode string, fb int, ufb int, sfb int, sup_op string, offset int, new map<int,string>, old map<int,string>, sup map<int,string>, row_id string",
+    "ends": f"{_PLACE}, xid string, rollback boolean, time long",
+}
+#: Size of a vector's header, up to version 11 and from 12 on, which adds the container.
+VECTOR_HEADER, VECTOR_HEADER_12, FIRST_WITH_CONTAINERS = 0x18, 0x20, 12
 
 
 @dataclass(frozen=True)
@@ -48,9 +62,13 @@ class Header:
     def order(self) -> str:
         return "<" if self.little else ">"
 
+    @property
+    def containers(self) -> bool:
+        return int(self.version.split(".")[0]) >= FIRST_WITH_CONTAINERS
 
-class RedoError(ValueError):
-    """The file is not a readable redo log."""
+    @property
+    def vector_header(self) -> int:
+        return VECTOR_HEADER_12 if self.containers else VECTOR_HEADER
 
 
 def scn(b: bytes, at: int, order: str) -> int:
@@ -130,13 +148,13 @@ class Vector:
     fields: tuple[bytes, ...]
 
 
-def vectors(record: bytes, order: str) -> Iterator[Vector]:
+def vectors(record: bytes, order: str, header: int = VECTOR_HEADER_12) -> Iterator[Vector]:
     """The change vectors of a record: each a header, a list of field lengths, and the fields, padded to four bytes."""
     at = RECORD_LWN if record[4] & 0x04 else RECORD_SMALL
-    while at + 26 <= len(record):
+    while at + header + 2 <= len(record):
         layer, op, cls = struct.unpack_from(order + "BBH", record, at)
         dba = struct.unpack_from(order + "I", record, at + 8)[0]
-        head = at + 24
+        head = at + header
         n_bytes = struct.unpack_from(order + "H", record, head)[0]
         if n_bytes < 2:
             return
@@ -150,13 +168,6 @@ def vectors(record: bytes, order: str) -> Iterator[Vector]:
         at = place
 
 
-def commit_of(fields: tuple[bytes, ...], order: str) -> tuple[str, bool]:
-    """(slot.sequence, rolled back) of a 5.4 vector."""
-    slot, _, sequence = struct.unpack_from(order + "HHI", fields[0])
-    flag = fields[0][16] if len(fields[0]) > 16 else 0
-    return f"{slot}.{sequence}", bool(flag & 0x04)
-
-
 @dataclass
 class _File(InputPartition):
     path: str
@@ -170,6 +181,7 @@ class RedoReader(DataSourceReader):
         self.options = options
         self.start, self.end = int(options.get("startscn", -1)), int(options.get("endscn", 2**63 - 1))
         self.check = options.get("checksum", "false").lower() == "true"
+        self.decode = options.get("decode", "vectors").lower()
 
     def _header(self, path: str) -> Header:
         with open(path, "rb") as f:
@@ -202,19 +214,31 @@ class RedoReader(DataSourceReader):
                     ts = struct.unpack_from(o + "I", rec, 64)[0]
                 if not self.start < at <= self.end:
                     continue
-                for k, v in enumerate(vectors(rec, o)):
-                    yield (header.thread, header.sequence, number, offset, at, sub, ts, k, v.opcode, v.cls, v.dba, list(v.fields))
+                con = struct.unpack_from(o + "I", rec, 16)[0] if header.containers else None
+                found = list(vectors(rec, o, header.vector_header))
+                if self.decode == "vectors":
+                    for k, v in enumerate(found):
+                        yield (header.thread, header.sequence, number, offset, at, sub, ts, k, v.opcode, v.cls, v.dba, con, list(v.fields))
+                    continue
+                rba = f"0x{header.sequence:06x}.{number:08x}.{offset:04x}"
+                if self.decode == "ends":
+                    rows = [end_of(v.cls, v.fields, o) for v in found if v.opcode == "5.4"]
+                else:
+                    rows = list(row_records([(v.opcode, v.cls, v.fields) for v in found], o))
+                names = [c.split()[0] for c in SCHEMAS[self.decode][len(_PLACE) + 2 :].split(", ")]
+                for k, r in enumerate(rows):
+                    yield (header.thread, header.sequence, rba, f"{at:020d}.{sub:05d}.{rba}.{k:05d}", at, sub, ts, con, *(r[c] for c in names))
 
 
 class RedoSource(DataSource):
-    """Redo log files, a row for each change vector."""
+    """Redo log files, a row for each change vector, row piece or transaction end."""
 
     @classmethod
     def name(cls) -> str:
         return "redo"
 
     def schema(self) -> str:
-        return SCHEMA
+        return SCHEMAS[self.options.get("decode", "vectors").lower()]
 
     def reader(self, schema) -> RedoReader:
         return RedoReader(self.options)
