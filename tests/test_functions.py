@@ -75,3 +75,11 @@ def test_names(spark):
     got = [r[0] for r in df.select(sql_redo.convert_file_name(F.col("n"), {"C:\\ora": "/mnt", "/u01": "/u02"})).collect()]
     assert got == ["/mnt/a/1.arc", "/u02/x/2.arc"]
     assert [r[0] for r in spark.createDataFrame([('"aB"',), ("ab",)], "n string").select(sql_redo.canonical_name(F.col("n"))).collect()] == ["aB", "AB"]
+
+
+def test_sql_redo_of_long_values_and_key_words_in_texts(spark):
+    long = "x where \n''" * 100_000
+    rows = [(f"insert into \"O\".\"T\"(\"A\",\"B\") values ('{long}',TO_DATE('1, 2', 'f'));", f"update \"O\".\"T\" set \"A\" = '{long}', \"B\" = NULL where \"A\" = 'a set b' and \"C\" IS NULL")]
+    r = spark.createDataFrame(rows, "i string, u string").select(sql_redo.insert_values("i").alias("i"), sql_redo.set_values("u").alias("s"), sql_redo.where_values("u").alias("w")).first()
+    plain = long.replace("''", "'")
+    assert r.i == {"A": plain, "B": "TO_DATE('1, 2', 'f')"} and r.s == {"A": plain, "B": None} and r.w == {"A": "a set b", "C": None}

@@ -5,15 +5,16 @@ import struct
 import pytest
 
 from tidelog.functions.row_vectors import end_of, row_records
-from tidelog.operators import apply
+from tidelog.operators import apply, stitching
 from tidelog.sources import redo
+from tidelog.sources import redo_writer as w
 from tidelog.streaming import assembler
 
 
-def vector(layer, op, fields):
+def vector(layer, op, fields, cls=1):
     lengths = struct.pack(f"<{len(fields) + 1}H", 2 * (len(fields) + 1), *map(len, fields))
     pad = lambda b: b + bytes(-len(b) % 4)
-    return struct.pack("<BBHIIIIIII", layer, op, 1, 0, 77, 0, 0, 0, 0, 0) + pad(lengths) + b"".join(map(pad, fields))
+    return struct.pack("<BBHIIIIIII", layer, op, cls, 0, 77, 0, 0, 0, 0, 0) + pad(lengths) + b"".join(map(pad, fields))
 
 
 def log_file(path, sequence, recs, first=1, last=1000, size=512):
@@ -102,3 +103,38 @@ def test_partial_update_of_wrapped_columns(spark):
     v = "struct<V: string>"
     ev = spark.createDataFrame([(1, 1, "u", ("n",), None), (1, 2, "u", None, (None,)), (2, 1, "d", None, None), (2, 2, "c", ("new",), None), (3, 1, "d", None, None), (4, 1, "c", ("i",), ("j",))], f"k long, pos long, op string, p {v}, q {v}")
     assert sorted(map(tuple, apply.partial_update(base, ev, ["k"], ["pos"], ["p", "q"]).collect())) == [(1, "n", None), (2, "new", None), (4, "i", "j")]
+
+
+def raw(vs):
+    """Vectors of the writer as bytes of a record."""
+    return [vector(*map(int, v["opcode"].split(".")), v["fields"], v["class"]) for v in vs]
+
+
+def test_row_pieces_and_ends_of_files(spark, tmp_path):
+    xid, key = (4, 5, 6), b"\xc1\x02"
+    recs = [(10, raw(w.insert(xid, 9, 3 << 22 | 8, 2, [key, b"one", None]))), (20, raw(w.update(xid, 9, 3 << 22 | 8, 2, {2: b"one"}, {2: b"two"}, {1: key}))), (30, raw(w.delete(xid, 9, 3 << 22 | 8, 2, [key, b"two", None]))), (40, raw(w.end(xid, time=99)))]
+    log_file(tmp_path / "a.arc", 7, recs, 1, 100)
+    spark.dataSource.register(redo.RedoSource)
+    read = spark.read.format("redo").option("path", str(tmp_path)).option("checksum", "true")
+    rows = sorted(stitching.stitch_rows(read.option("decode", "pieces").load()).collect(), key=lambda r: r.scn)
+    assert [(r.op, r.scn, r.xid, r.row_id, r.complete) for r in rows] == [(op, scn, "4.5.6", "AAAAAJAADAAAAAIAAC", True) for op, scn in (("INSERT", 10), ("UPDATE", 20), ("DELETE", 30))]
+    assert rows[0]["set"] == {1: "c102", 2: "6f6e65", 3: None} and rows[2]["original"] == {1: "c102", 2: "74776f", 3: None}
+    assert (rows[1]["set"], rows[1]["original"], rows[1]["where"]) == ({2: "74776f"}, {2: "6f6e65"}, {1: "c102", 2: "6f6e65"})
+    assert [(r.xid, r.rollback, r.time, r.scn) for r in read.option("decode", "ends").load().collect()] == [("4.5.6", False, 99, 40)]
+
+
+def test_partial_rollback_and_arrays():
+    two, undone = w.insert((1, 2, 3), 9, 8, 0, [b"a"])
+    marker = {"opcode": "5.6", "class": 17, "fields": [struct.pack("<II8xBBBxHH", 9, 9, 11, 1, 2, 0, 0)]}
+    got = list(row_records([(v["opcode"], v["class"], v["fields"]) for v in (undone, marker)]))
+    assert [(g["xid"], g["rollback"], g["opcode"]) for g in got] == [("1.2", True, "11.2")]
+    rows = b"\x2c\x00\x02\x01a\xff" + b"\x2c\x00\x01\xfe\x02\x00bc"
+    head = struct.pack("<I6xBB6xB1xHH4x", 8, 11, 0, 2, 5, 6)
+    got = list(row_records([(two["opcode"], 1, two["fields"]), ("11.11", 1, [b"", head, b"", rows])]))
+    assert [(g["new"], g["row_id"][-3:]) for g in got] == [({1: "61", 2: None}, "AAF"), ({1: "6263"}, "AAG")]
+
+
+def test_vector_headers_by_version():
+    for header in (redo.VECTOR_HEADER, redo.VECTOR_HEADER_12):
+        body = struct.pack("<BBHI", 11, 2, 1, 0).ljust(header, b"\0") + struct.pack("<HH", 4, 3) + b"abc\0"
+        assert [(v.opcode, v.fields) for v in redo.vectors(bytes(24) + body, "<", header)] == [("11.2", (b"abc",))]

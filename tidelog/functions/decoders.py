@@ -225,6 +225,16 @@ def udf(fn: Callable[[bytes], Any], kind: str, strict: bool = True) -> Callable[
     return run
 
 
+def udf_of_values(fn: Callable[[Any], Any], kind: str) -> Callable[[Column], Column]:
+    """A plain function over the values of a column as a Pandas UDF; NULL stays."""
+
+    @F.pandas_udf(kind)
+    def run(s: pd.Series) -> pd.Series:
+        return pd.Series([None if pd.isna(v) else fn(v) for v in s], index=s.index, dtype=object)
+
+    return run
+
+
 def ora_date(column: Column) -> Column:
     """DATE bytes as a timestamp without zone, inside the JVM."""
     byte = lambda k: F.conv(F.hex(F.substring(column, F.lit(k), F.lit(1))), 16, 10).cast("int")

@@ -2,32 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.operators import apply as ap
 from tidelog.operators import ddl, envelopes, filters, projections, snapshots, transactions, transforms
 from tidelog.operators import large_objects as lobs
+from tidelog.plans import redo_queries as redo_queries  # registers its queries
+from tidelog.plans.registry import ORACLES as ORACLES
+from tidelog.plans.registry import QUERIES as QUERIES
+from tidelog.plans.registry import query
 from tidelog.sources import change_logs as src
 from tidelog.sources.change_logs import CUSTOMER_TABLES, EVENT_LOG, LINE_LOG, ORDER_ENDS
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    def add(fn: Query) -> Query:
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-
-    return add
-
-
 #: The stack rule of rollback records, over the event log.
 _CANCEL = f"""with log as ({EVENT_LOG}),
 d as (select *, sum(case when rollback then -1 else 1 end) over (partition by xid, row_id order by scn rows between unbounded preceding and current row) as d from log),
