@@ -237,6 +237,21 @@ def test_line_dedup_of_many_variants_of_a_line(spark, monkeypatch, turns):
     assert 15 < len(want) and removed_here(spark.createDataFrame(rows, "doc_id long, text string")) == want
 
 
+def test_line_dedup_finds_short_lines(spark):
+    """Pairs of lines of three to eight words, edited at an end: recall by brute force."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 10)))
+    rows = []
+    for k in range(300):
+        one = " ".join(word() for _ in range(3 + k % 6))
+        if len(one) >= 20:
+            rows += [one, one[: -1 - k % 3] + "z", one + " " + word()[: 1 + k % 3], one[1 + k % 2 :]]
+    rows = list(enumerate(rows))
+    want = {d: len(x) for d, x in line_brute(rows).items()}
+    got = removed_here(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert len(want) > 300 and set(got) <= set(want) and len(got) >= 0.995 * len(want)
+
+
 def passages_brute(texts, k=200):
     enc = [(t or "").encode() for t in texts]
     seen = defaultdict(list)
