@@ -73,8 +73,17 @@ def valid(value: Any, schema: Any) -> bool:
     return True
 
 
+_SURROGATE = re.compile("[\ud800-\udfff]")
+
+
+def _sound(text: str) -> str:
+    """text with unpaired surrogates, which UTF-8 cannot hold, as JSON escapes."""
+    return _SURROGATE.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
+
+
 def canonical(value: Any) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    """Sorted keys, no spaces; ValueError for numbers that JSON does not have."""
+    return _sound(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False))
 
 
 def _cited(value: Any) -> set[str]:
@@ -93,14 +102,18 @@ def _cited(value: Any) -> set[str]:
 
 
 def _parse(role: str | None, text: str | None) -> list[dict]:
-    """The events of one message."""
+    """The events of one message; what is not sound JSON (NaN, numbers beyond a double, nesting too deep) is plain text."""
     plain = [{"part": 0, "kind": "message", "content": text}]
     if role not in ("assistant", "tool") or not text or text.lstrip()[:1] != "{":
         return plain
     try:
-        body = json.loads(text)
+        found = _embedded(role, json.loads(text), plain)
     except (ValueError, RecursionError):
         return plain
+    return [{k: _sound(v) if isinstance(v, str) else [_sound(x) for x in v] if isinstance(v, list) else v for k, v in e.items()} for e in found]
+
+
+def _embedded(role: str, body: dict, plain: list[dict]) -> list[dict]:
     if role == "tool":
         if not isinstance(body.get("tool_call_id"), str):
             return plain
