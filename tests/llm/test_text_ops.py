@@ -338,3 +338,8 @@ def test_pipeline_columns(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(50)
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, sf).columns == docs.columns
+
+
+def test_counts_beyond_32_bits():
+    for a in ([], [0, 1, 2**32 - 1], [3, 2**32, 2**45]):
+        assert lm_score._unpack(lm_score._pack(np.array(a, dtype=np.int64))).tolist() == a

@@ -78,7 +78,13 @@ def _shard_cuts(keys: np.ndarray, shards: int) -> np.ndarray:
 
 
 def _pack(a: np.ndarray) -> bytes:
-    return zlib.compress(a.astype(np.uint32).tobytes(), 1)
+    """Counts, behind the bytes that each takes: four, or eight where one needs them."""
+    width = 8 if len(a) and int(a.max()) >> 32 else 4
+    return bytes([width]) + zlib.compress(a.astype(f"<u{width}").tobytes(), 1)
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(memoryview(data)[1:]), dtype=f"<u{data[0]}").astype(np.int64)
 
 
 def _pack_keys(keys: np.ndarray) -> bytes:
@@ -175,13 +181,13 @@ def lm_scores(docs: DataFrame, order: int = ORDER, mu: float = MU, id_col: str =
             rows = np.flatnonzero(number == m)
             parts = [_unpack_keys(t["keys"][int(r)].as_py()) for r in rows]
             keys, which = np.unique(np.concatenate(parts), return_inverse=True)
-            own = np.concatenate([np.frombuffer(zlib.decompress(t["counts"][int(r)].as_py()), dtype=np.uint32) for r in rows])
+            own = np.concatenate([_unpack(t["counts"][int(r)].as_py()) for r in rows])
             count = np.zeros(len(keys), dtype=np.int64)
             np.add.at(count, which, own)
             at = 0
             for k, (r, p) in enumerate(zip(rows, parts, strict=True)):
                 facts = (int(count.sum()), int((count > 0).sum()), int((count == 1).sum()), int((count == 2).sum())) if k == 0 and m == 1 else (0, 0, 0, 0)
-                for name, v in zip(out, (t["block"][int(r)].as_py(), int(m), t["shard"][int(r)].as_py(), _pack(np.minimum(count[which[at : at + len(p)]], 2**32 - 1)), *facts), strict=True):
+                for name, v in zip(out, (t["block"][int(r)].as_py(), int(m), t["shard"][int(r)].as_py(), _pack(count[which[at : at + len(p)]]), *facts), strict=True):
                     out[name].append(v)
                 at += len(p)
         return pa.table(out, schema=pa.schema([("block", pa.int32()), ("n", pa.int32()), ("shard", pa.int32()), ("counts", pa.binary()), *((c, pa.int64()) for c in ("tokens", "kinds", "once", "twice"))]))
@@ -200,8 +206,8 @@ def lm_scores(docs: DataFrame, order: int = ORDER, mu: float = MU, id_col: str =
         for m in range(1, order + 1):
             rows = np.flatnonzero(n == m)
             rows = rows[np.argsort(shard[rows])]
-            parts = [np.frombuffer(zlib.decompress(got["counts"][int(r)].as_py()), dtype=np.uint32) for r in rows]
-            counts.append(np.concatenate(parts) if parts else np.zeros(0, np.uint32))
+            parts = [_unpack(got["counts"][int(r)].as_py()) for r in rows]
+            counts.append(np.concatenate(parts) if parts else np.zeros(0, np.int64))
         c = counts[0][g.which[0]].astype(np.float64)
         row = g.row[g.start[0]]
         tally = lambda w=None: np.bincount(row, weights=w, minlength=g.n_texts)
