@@ -17,12 +17,14 @@ Nothing emits a list's pairs while its members may be one component.  First each
 the member of its list that has least values alone, if they share enough lists.  From then on
 only lists that hold members of several components count, and only sets with enough values in
 such lists: a group of near copies that is one component, of whatever size, is done with.  A
-list is hot while its pairs apart are over ``OPEN`` times its members, and gets fresh leaders
-for up to ``TURNS`` turns.  At last every pair that is still apart is met: in lists that are
-not hot, by salted blocks, size and position; and sets with enough values in hot lists alone
+list is hot while its pairs apart are over ``OPEN`` times its members, and gets ``LEADERS`` fresh
+leaders for up to ``TURNS`` turns.  At last every pair that is still apart is met: in lists that
+are not hot, by salted blocks, size and position; and sets with enough values in hot lists alone
 (passages that many documents share, large groups that are not linked) by a prefix filter over
-their full sets, whose shingles are ordered by the number of components that have them.  Turns
-and leaders save work only.
+their full sets, whose shingles are ordered by the number of components that have them, each
+pair once and first by each set's rarest one.  Turns and leaders save work only.  What is left
+is the work that exactness asks for: sets beside a large group that are linked with none of its
+members are compared with those members that position cannot rule out.
 
 Edge cases: a null or empty text has an empty set and links with nothing; texts of fewer
 words than a shingle are one shingle; null ids take part in classes but never name a
@@ -47,8 +49,8 @@ from tidelog.llm.components import components, small_side
 
 #: Probability at most that the estimate rules a linked pair out.
 MISS = 1e-9
-#: Turns of fresh leaders at most; open pairs for each member of a list from which on it is hot.
-TURNS, OPEN = 2, 4
+#: Turns of fresh leaders at most, leaders of a list in each; open pairs for each member of a list from which on it is hot.
+TURNS, LEADERS, OPEN = 2, 6, 4
 #: Postings of one salted block of a shingle, about, and values of a sketch that one estimate looks at.
 BLOCK, LOOKED_AT = 256, 128
 
@@ -204,31 +206,32 @@ def _open(met: DataFrame, found: DataFrame, percent: int) -> DataFrame:
 
 
 def _crossed(posts: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of the postings (value, node, n, at, root, members, unseen) that are apart and that size and position cannot rule out.
+    """Pairs (a, b) of the postings (value, node, n, at, root, members, unseen, before) that are apart and that size and position cannot rule out.
 
     In any one order of all shingles, linked sets of x <= y shingles have their first common one
     among the first x - ceil(2px / (100 + p)) + 1 of the one and the first k(y) of the other;
     ``unseen`` values of a set, of lists that are not among these, may be common before it.
+    Sets that share one of the values ``before`` met there, so a pair meets once.
     """
     index = f"at <= n + unseen - ((2 * {percent} * n + {99 + percent}) div {100 + percent})"
     posts = posts.withColumn("blocks", F.expr(f"cast(ceil(members / {BLOCK}) as int)"))
-    side = lambda df, x, block: df.select("value", block.alias("block"), *(F.col(c).alias(f"{c}{x}") for c in ("node", "n", "at", "root", "unseen")))
+    side = lambda df, x, block: df.select("value", block.alias("block"), *(F.col(c).alias(f"{c}{x}") for c in ("node", "n", "at", "root", "unseen", "before")))
     one, two = side(posts.where(index), "a", F.expr("pmod(xxhash64(node), blocks)").cast("int")), side(posts, "b", F.explode(F.expr("sequence(0, blocks - 1)")))
-    linkable = f"na <= nb and nodea <> nodeb and roota <> rootb and 100 * na >= {percent} * nb and {100 + percent} * (least(na - ata, nb - atb) + least(unseena, unseenb)) >= {percent} * (na + nb)"
+    linkable = f"na <= nb and nodea <> nodeb and roota <> rootb and 100 * na >= {percent} * nb and {100 + percent} * (least(na - ata, nb - atb) + least(unseena, unseenb)) >= {percent} * (na + nb) and not arrays_overlap(beforea, beforeb)"
     return one.join(two, ["value", "block"]).where(linkable).select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")).distinct()
 
 
-def _by_prefix(open_: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of the sets (node, root) that are apart and that the prefix filter over full sets cannot rule out."""
+def _prefixes(open_: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The postings of the sets (node, root) in the prefix filter over full sets, shingles of fewest components first; rank counts a set's postings from 0 on."""
     sets = saved(_full_sets(open_.select("node"), classes, docs, n).join(small_side(open_), "node"), "rooted")
     shingles = sets.select("node", "root", F.size("set").alias("n"), F.explode("set").alias("s"))
     # a shingle of one component joins none that are apart, but comes first in the order
     common = shingles.groupBy("s", "root").agg(F.count("*").alias("c")).groupBy("s").agg(F.count("*").alias("rf"), F.sum("c").alias("df")).where("rf > 1")
     first = shingles.join(_side(common), "s").groupBy("node", "n", "root").agg(F.sort_array(F.collect_list(F.struct("rf", "s", "df"))).alias("xs")).withColumn("own", F.expr("n - size(xs)"))
     probe = _retained("n", percent)
-    at = first.where(f"{probe} > own").select("node", "n", "root", "own", F.posexplode(F.expr(f"slice(xs, 1, cast({probe} - own as int))")).alias("i", "x"))
-    posts = at.select(F.col("x.s").alias("value"), "node", "n", F.expr("own + i").alias("at"), "root", F.col("x.df").alias("members"), F.lit(0).alias("unseen"))
-    return _crossed(saved(posts, "prefixes"), percent)
+    kept = first.where(f"{probe} > own").withColumn("xs", F.expr(f"slice(xs, 1, cast({probe} - own as int))"))
+    at = kept.select("node", "n", "root", "own", F.col("xs.s").alias("all"), F.posexplode("xs").alias("rank", "x"))
+    return saved(at.select(F.col("x.s").alias("value"), "node", "n", F.expr("own + rank").alias("at"), "rank", "root", F.col("x.df").alias("members"), F.lit(0).alias("unseen"), F.expr("slice(all, 1, rank)").alias("before")), "prefixes")
 
 
 def links(docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
@@ -250,9 +253,13 @@ def links(docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFram
         many = left.where("hot")
         if turn == TURNS or many.isEmpty():
             break
-        order = F.struct(F.expr(f"pmod(xxhash64(node, {turn}), 4)").alias("o"), "rare", F.col("node").alias("a"), F.col("root").alias("other"))
-        fresh = many.groupBy("value").agg(F.min(order).alias("l"))
-        pairs = many.join(_side(fresh), "value").where("root <> l.other").select(F.least("node", "l.a").alias("a"), F.greatest("node", "l.a").alias("b")).distinct()
+        # of each of several shares of all sets, drawn anew each turn, the member that has least alone
+        share = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(LEADERS))
+        best = [F.min(F.when(share == k, F.struct("rare", F.col("node").alias("a"), F.col("root").alias("other")))).alias(f"l{k}") for k in range(LEADERS)]
+        fresh = many.groupBy("value").agg(*best).select("value", F.array_compact(F.array(*(f"l{k}" for k in range(LEADERS)))).alias("ls"))
+        led = many.join(_side(fresh), "value").select("node", "n", F.explode(F.filter("ls", lambda x: x["other"] != F.col("root"))["a"]).alias("a"))
+        shared = led.groupBy("a", "node", "n").count().where(f"2 * count >= {_retained('n', percent)}")
+        pairs = shared.select(F.least("node", "a").alias("a"), F.greatest("node", "a").alias("b")).distinct()
         new = _confirmed(pairs, classes, docs, n, percent)
         if new.isEmpty():
             break
@@ -261,10 +268,19 @@ def links(docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFram
         tidy(spark)
     # a pair apart shares a list that is not hot, or each of the two has enough values in hot ones alone
     hot = saved(many.groupBy("node", "n", "root").agg(F.count("*").cast("int").alias("unseen")), "hot")
-    plain = left.where("not hot").join(small_side(hot.select("node", "unseen")), "node", "left").fillna(0, ["unseen"])
+    none = F.expr("cast(array() as array<bigint>)")
+    plain = left.where("not hot").join(small_side(hot.select("node", "unseen")), "node", "left").fillna(0, ["unseen"]).withColumn("before", none)
     found = found.unionByName(_confirmed(_crossed(plain, percent), classes, docs, n, percent))
     hard = saved(hot.where(f"unseen >= {_enough('n', percent)}").select("node", "root"), "hard")
-    return found if hard.isEmpty() else found.unionByName(_confirmed(_by_prefix(hard, classes, docs, n, percent), classes, docs, n, percent))
+    if hard.isEmpty():
+        return found
+    posts = _prefixes(hard, classes, docs, n, percent)
+    # shingles of few components tell most: what meets there and is linked need not meet elsewhere
+    for some in (posts.where("rank = 0"), posts):
+        roots = small_side(saved(components(found, "a", "b"), "components").withColumnRenamed("root", "_r"))
+        now = some.join(roots, "node", "left").withColumn("root", F.coalesce("_r", "node")).drop("_r")
+        found = found.unionByName(_confirmed(_crossed(now, percent), classes, docs, n, percent))
+    return found
 
 
 def _grouped(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
