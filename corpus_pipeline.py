@@ -23,7 +23,7 @@ STAGES = [
     ("sentence pieces", piece_stage),
 ]
 
-#: The fitted threshold and the piece merges cannot be said in SQL; tests hold run() against brute force.
+#: The fitted threshold and the piece merges cannot be said in SQL; each stage is held against brute force or the library in tests of its own.
 ORACLE_SQL = None
 
 
