@@ -167,7 +167,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, pe
     known = saved(classes.join(small_side(_ends(pairs)), "node", "left_semi").select("node", "n_shingles", F.slice("sketch", 1, LOOKED_AT).alias("s")), "known")
     one, two = (known.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("s").alias(f"s{x}")) for x in "ab")
     both = pairs.join(one, "a").join(two, "b").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").withColumn("m", F.least(F.size("sa"), F.size("sb")))
-    least = both.withColumn("u", F.expr("slice(array_sort(array_union(sa, sb)), 1, m)"))
+    least = both.withColumn("u", F.expr("slice(sort_array(array_union(sa, sb)), 1, m)"))
     likely = saved(least.where(f"size(array_intersect(array_intersect(u, sa), sb)) >= {_least_shared('m', percent)}").select("a", "b"), "likely")
     out = likely if likely.isEmpty() else _checked(likely, classes, docs, n, percent)
     free(pairs.sparkSession, known, pairs)
@@ -185,8 +185,8 @@ def _checked(likely: DataFrame, classes: DataFrame, docs: DataFrame, n: int, per
     """The pairs (a, b) of likely whose full sets are linked."""
     sets = _full_sets(_ends(likely), classes, docs, n)
     one, two = (sets.select(F.col("node").alias(x), F.col("set").alias(f"s{x}")) for x in "ab")
-    both = likely.join(one, "a").join(two, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
-    out = saved(both.where(f"100 * common >= {percent} * (size(sa) + size(sb) - common)").select("a", "b"), "links")
+    both = likely.join(one, "a").join(two, "b")
+    out = saved(both.where(f"{100 + percent} * size(array_intersect(sa, sb)) >= {percent} * (size(sa) + size(sb))").select("a", "b"), "links")
     free(likely.sparkSession, sets)
     return out
 
