@@ -1,6 +1,7 @@
 """Line, passage and near-duplicate removal against brute force."""
 
 import hashlib
+import os
 import random
 import re
 from collections import defaultdict
@@ -251,6 +252,28 @@ def test_line_dedup_finds_short_lines(spark):
     assert len(want) > 300 and set(got) <= set(want) and len(got) >= 0.995 * len(want)
 
 
+def test_line_dedup_rules_unlike_brief_lines_out_before_the_exact_test(spark, monkeypatch):
+    """Lines that share a passage of a few shingles meet in its bands, but are no pairs to compare in full."""
+    rng = random.Random(8)
+    met, exact = [], line_dedup.confirmed
+    monkeypatch.setattr(line_dedup, "confirmed", lambda pairs, *more: met.append(pairs.count()) or exact(pairs, *more))
+    rows = [(d, "".join(rng.choice("abcdefghijklmnop") for _ in range(30)) + " shared passage") for d in range(80)]
+    rows += [(100, rows[0][1] + "x"), (101, rows[1][1][2:])]
+    want = {d: len(x) for d, x in line_brute(rows).items()}
+    assert len(want) == 2 and removed_here(spark.createDataFrame(rows, "doc_id long, text string")) == want
+    assert sum(met) <= 10
+
+
+def test_line_dedup_deletes_what_it_needs_no_longer(spark, odd):
+    line_dedup.prepare(spark)
+    root = spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:")
+    kinds = ("line-signatures", "line-posts", "line-open", "line-pairs")
+    there = lambda: {x for x in os.listdir(root) if x.startswith(kinds)}
+    before = there()
+    line_dedup.removed_lines(line_dedup._keyed(odd.select("doc_id", "text")))
+    assert {x for x in there() - before if any(f.endswith(".parquet") for f in os.listdir(f"{root}/{x}"))} == set()
+
+
 def passages_brute(texts, k=200):
     enc = [(t or "").encode() for t in texts]
     seen = defaultdict(list)
