@@ -138,6 +138,21 @@ def test_near_dup_chains_and_inner_passages(spark):
     assert got == near_brute(rows, 3, 85)
 
 
+def test_near_dedup_deletes_what_it_needs_no_longer(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "OPEN", 0)
+    line_dedup.prepare(spark)
+    root = spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:")
+    kinds = ("postings-", "open-", "rooted-", "prefixes-")
+    there = lambda: {x for x in os.listdir(root) if x.startswith(kinds)}
+    before = there()
+    passage = [f"p{k}" for k in range(60)]
+    rows = [(d, " ".join(passage + [f"q{d}x{k}" for k in range(20)])) for d in range(12)]
+    rows += [(20, rows[0][1] + " x"), (21, rows[1][1][1:])]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()}
+    assert got == near_brute(rows, 3, 85)
+    assert {x for x in there() - before if any(f.endswith(".parquet") for f in os.listdir(f"{root}/{x}"))} == set()
+
+
 def test_near_dedup_stage_with_clashing_columns(spark):
     one, own = (" ".join(f"{c}{k}" for k in range(30)) for c in "ab")
     kind = "doc_id long, text string, _gone long, gone long, uid long, row string, root string"

@@ -231,7 +231,9 @@ def _prefixes(open_: DataFrame, classes: DataFrame, docs: DataFrame, n: int, per
     probe = _retained("n", percent)
     kept = first.where(f"{probe} > own").withColumn("xs", F.expr(f"slice(xs, 1, cast({probe} - own as int))"))
     at = kept.select("node", "n", "root", "own", F.col("xs.s").alias("all"), F.posexplode("xs").alias("rank", "x"))
-    return saved(at.select(F.col("x.s").alias("value"), "node", "n", F.expr("own + rank").alias("at"), "rank", "root", F.col("x.df").alias("members"), F.lit(0).alias("unseen"), F.expr("slice(all, 1, rank)").alias("before")), "prefixes")
+    out = saved(at.select(F.col("x.s").alias("value"), "node", "n", F.expr("own + rank").alias("at"), "rank", "root", F.col("x.df").alias("members"), F.lit(0).alias("unseen"), F.expr("slice(all, 1, rank)").alias("before")), "prefixes")
+    free(docs.sparkSession, sets)
+    return out
 
 
 def links(docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
@@ -271,6 +273,8 @@ def links(docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFram
     none = F.expr("cast(array() as array<bigint>)")
     plain = left.where("not hot").join(small_side(hot.select("node", "unseen")), "node", "left").fillna(0, ["unseen"]).withColumn("before", none)
     found = found.unionByName(_confirmed(_crossed(plain, percent), classes, docs, n, percent))
+    free(spark, left, met)
+    tidy(spark)
     hard = saved(hot.where(f"unseen >= {_enough('n', percent)}").select("node", "root"), "hard")
     if hard.isEmpty():
         return found
@@ -280,6 +284,8 @@ def links(docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFram
         roots = small_side(saved(components(found, "a", "b"), "components").withColumnRenamed("root", "_r"))
         now = some.join(roots, "node", "left").withColumn("root", F.coalesce("_r", "node")).drop("_r")
         found = found.unionByName(_confirmed(_crossed(now, percent), classes, docs, n, percent))
+        tidy(spark)
+    free(spark, hot, hard, posts)
     return found
 
 
