@@ -279,6 +279,20 @@ def test_line_dedup_rules_unlike_brief_lines_out_before_the_exact_test(spark, mo
     assert sum(met) <= 10
 
 
+def test_line_dedup_rules_out_pairs_not_far_below_the_bound(spark, monkeypatch):
+    """Lines of similarity 0.7 share many bands; their bitmaps alone tell them apart, and no linked pair from them."""
+    rng = random.Random(9)
+    met, exact = [], line_dedup.confirmed
+    monkeypatch.setattr(line_dedup, "confirmed", lambda pairs, *more: met.append(pairs.count()) or exact(pairs, *more))
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
+    base = " ".join(word() for _ in range(66))
+    rows = [(d, base + "".join(" " + word() for _ in range(15))) for d in range(60)]
+    rows += [(100, rows[0][1] + " x"), (101, rows[1][1][20:])]
+    want = {d: len(x) for d, x in line_brute(rows).items()}
+    assert len(want) == 2 and removed_here(spark.createDataFrame(rows, "doc_id long, text string")) == want
+    assert sum(met) <= 60
+
+
 def test_line_dedup_deletes_what_it_needs_no_longer(spark, odd):
     line_dedup.prepare(spark)
     root = spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:")
